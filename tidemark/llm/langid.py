@@ -28,6 +28,11 @@ GRAMS, BUCKETS, SAMPLE_DOCS, REFITS = (3, 4), 1 << 16, 400, 2
 #: A posterior is tempered to this many n-grams, so that long paragraphs don't all have confidence 1.
 TEMPER = 40.0
 
+#: Characters scored at a time.
+CHUNK = 1 << 17
+#: Code points that count as letters (after lower()), and the line break; higher ones are letters.
+LETTERS = np.array([c == 10 or (chr(c).isalpha() and c < 0x2000) or 0x2070 <= c for c in range(0x2100)])
+
 BREAK = re.compile(r"\n[^\S\n]*\n\s*")
 # Inner templates, tables, comments, references, files and categories, bare links
 MARKUP = re.compile(r"\{\{[^{}]*\}\}|<!--.*?-->|<ref[^>/]*/>|<ref[^>]*>.*?</ref>|<[^<>]*>|\[\[[^\[\]|:]*:[^\[\]]*\]\]|\[https?://[^\]\s]*[^\]]*\]|https?://\S+|__[A-Z]+__", re.S)
@@ -36,7 +41,7 @@ TABLE = re.compile(r"\{\|.*?\|\}|^[ \t]*[|!].*$|^[ \t]*=+.*=+[ \t]*$|^[ \t]*#\s*
 TABLE_START = re.compile(r"\{\|.*?(\n\|\}|\Z)", re.S)
 LINES = re.compile(r"^[ \t]*(?:[|!].*|=+.*=+[ \t]*|#\s*\w+[ \t]*\[\[.*)$", re.M)
 #: A sentence: an upper-case letter, at least two more words, and a stop after a letter, digit or closing mark.
-SENTENCE = re.compile(r"[^\W\d_a-zа-яßà-öø-ÿ][^.!?]*\s\S[^.!?]*\s\S[^.!?]*[\w)\]»”“\"'%][.!?…](?:\s|$|[\"»”)\[<(])")
+SENTENCE = re.compile(r"[^\W\d_a-zа-яßà-öø-ÿ][^.!?]*\s\S[^.!?]*\s\S[^.!?]*[\w)\]»”“\"'%]\s*[.!?…](?:\s|$|[\"»”)\[<(])")
 
 
 def paragraphs(text: str) -> list[str]:
@@ -62,44 +67,54 @@ def prose(paragraph: str) -> str:
     return p if SENTENCE.search(p) else ""
 
 
-def hashed_grams(texts: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of every n-gram, number of the text it belongs to). Digits and marks count as blanks, runs of blanks as one."""
-    joined = "\n".join(texts).lower()
-    cp = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
-    letter = (cp >= 97) & (cp <= 122) | (cp >= 0xDF) & (cp != 0xF7) & ((cp < 0x2000) | (cp > 0x206F)) | (cp == 10)
+def hashed_grams(texts: list[str], buckets: int = BUCKETS) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each length of n-grams: (bucket of every n-gram, where each text's n-grams begin). Digits and marks count as blanks, runs of blanks as one."""
+    cp = np.frombuffer("\n".join(texts).lower().encode("utf-32-le"), dtype=np.uint32)
+    letter = LETTERS[np.minimum(cp, len(LETTERS) - 1)]
     cp = np.where(letter, cp, np.uint32(32))
-    keep = np.ones(len(cp), dtype=bool)
-    keep[1:] = ~((cp[1:] == 32) & (cp[:-1] == 32))
-    cp = cp[keep]
-    line = np.cumsum(cp == 10)
-    out, owner = [], []
-    x = cp.astype(np.uint32)
-    with np.errstate(over="ignore"):
-        for n in GRAMS:
-            if len(x) < n:
-                continue
-            h = np.full(len(x) - n + 1, 2166136261 + n, dtype=np.uint32)
+    keep = np.empty(len(cp), dtype=bool)
+    keep[:1] = True
+    np.logical_or(letter[1:], letter[:-1], out=keep[1:])
+    x = cp[keep]
+    ends = np.append(np.flatnonzero(x == 10), len(x))
+    out, h = [], np.full(len(x), 2166136261, dtype=np.uint32)
+    for n in range(1, max(GRAMS) + 1):
+        h = (h[: len(x) - n + 1] ^ x[n - 1 :]) * np.uint32(16777619)
+        h ^= h >> np.uint32(15)
+        if n in GRAMS:
+            # An n-gram that reaches over a line break is none; those lie at the last n - 1 places of a text and on the break
+            inside = np.ones(len(h), dtype=bool)
             for j in range(n):
-                h = (h ^ x[j : len(x) - n + 1 + j]) * np.uint32(16777619)
-                h ^= h >> np.uint32(15)
-            inside = line[: len(h)] == line[n - 1 :]
-            out.append((h[inside] % np.uint32(buckets)).astype(np.int64))
-            owner.append(line[: len(h)][inside])
-    if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(out), np.concatenate(owner)
+                at = ends - j
+                inside[at[(at >= 0) & (at < len(h))]] = False
+            starts = np.concatenate([[0], ends[:-1] + 1])
+            upto = np.concatenate([[0], np.cumsum(inside)])
+            out.append(((h[inside] & np.uint32(buckets - 1)), upto[np.minimum(starts, len(h))]))
+    return out
+
+
+def chunks(texts: list[str]) -> Iterator[slice]:
+    """Stretches of texts of about CHUNK characters; a longer text is one of its own."""
+    first = size = 0
+    for at, t in enumerate(texts):
+        if size and size + len(t) > CHUNK:
+            yield slice(first, at)
+            first, size = at, 0
+        size += len(t)
+    if first < len(texts):
+        yield slice(first, len(texts))
 
 
 def scores(texts: list[str], matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(texts x languages summed log-probabilities, n-grams per text)."""
-    buckets, langs = matrix.shape
-    total, n = np.zeros((len(texts), langs)), np.zeros(len(texts))
-    if not texts:
-        return total, n
-    grams, owner = hashed_grams(texts, buckets)
-    n = np.bincount(owner, minlength=len(texts)).astype(float)
-    for c in range(langs):
-        total[:, c] = np.bincount(owner, weights=matrix[:, c][grams], minlength=len(texts))
+    """(texts x languages summed log-probabilities, n-grams per text). Texts go through in chunks that stay in the processor's cache."""
+    total, n = np.zeros((len(texts), matrix.shape[1])), np.zeros(len(texts))
+    for part in chunks(texts):
+        for grams, starts in hashed_grams(texts[part], len(matrix)):
+            counts = np.diff(np.append(starts, len(grams)))
+            some = counts > 0
+            if len(grams):
+                total[part][some] += np.add.reduceat(matrix.take(grams, axis=0), starts[some], axis=0)
+            n[part] += counts
     return total, n
 
 
@@ -129,9 +144,10 @@ def _count(matrix: np.ndarray | None, n_langs: int):
                 lang = pdf["label"].to_numpy()[[w[0] for w in where]].astype(np.int64)
             else:
                 lang = scores(texts, matrix)[0].argmax(axis=1)
-            grams, owner = hashed_grams(texts)
-            at = lang[owner] * BUCKETS + grams
-            sums += np.bincount(at, minlength=n_langs * BUCKETS).reshape(n_langs, BUCKETS)
+            for part in chunks(texts):
+                for grams, starts in hashed_grams(texts[part]):
+                    at = np.repeat(lang[part], np.diff(np.append(starts, len(grams)))) * BUCKETS + grams
+                    sums += np.bincount(at, minlength=n_langs * BUCKETS).reshape(n_langs, BUCKETS)
         for k in range(n_langs):
             at = np.flatnonzero(sums[k])
             yield pd.DataFrame({"lang": k, "bucket": at, "c": sums[k][at].astype(np.int64)})
