@@ -85,16 +85,33 @@ def rule_violations(rows: DataFrame, table_name: str, rules: dict[str, Column],
     return aggs.select(F.lit(table_name).alias("table_name"), "load", F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("violations")) for c in rules])).alias("x")).select("table_name", "load", "x.*")
 
 
-def binned(rows: DataFrame, table_name: str, columns: list[str], load: str, row_id: str) -> DataFrame:
-    """table_name, load, fold, bins array<int>: where each number lies among pooled quantiles."""
-    finite = [F.when(~F.isnan(F.col(f"`{c}`")) & (F.abs(F.col(f"`{c}`")) < float("inf")), F.col(f"`{c}`")) for c in columns]
-    q = rows.agg(*[F.percentile_approx(f, [(i + 1) / (QUANTILES + 1) for i in range(QUANTILES)], 2000).alias(f"q{i}") for i, f in enumerate(finite)]).first()
-    bins = []
-    for i, c in enumerate(columns):
-        edges, v = sorted(set(q[f"q{i}"] or [])), F.col(f"`{c}`")
-        place = sum((F.when(v >= e, 1).otherwise(0) for e in edges), F.lit(2))
-        bins.append(F.when(v.isNull() | F.isnan(v), 0).when(F.abs(v) == float("inf"), 1).otherwise(place).cast("int"))
-    return rows.select(F.lit(table_name).alias("table_name"), F.col(load).alias("load"), F.pmod(F.xxhash64(row_id), F.lit(FOLDS)).cast("int").alias("fold"), F.array(*bins).alias("bins"))
+def _edges(rows: DataFrame, columns: list[str]) -> list[list[float]]:
+    """Pooled quantiles of each column's finite values; as many numbers as columns times QUANTILES come to the driver."""
+    long = rows.select(F.posexplode(F.array(*[F.col(f"`{c}`") for c in columns])).alias("i", "v")).where("v is not null and not isnan(v) and abs(v) < double('infinity')")
+    got = long.groupBy("i").agg(F.percentile_approx("v", [(i + 1) / (QUANTILES + 1) for i in range(QUANTILES)], 2000).alias("q")).collect()
+    edges: list[list[float]] = [[] for _ in columns]
+    for r in got:
+        edges[r["i"]] = sorted(set(r["q"]))
+    return edges
+
+
+def _binner(edges: list[list[float]]):
+    def run(batches):
+        for pdf in batches:
+            v = np.array(pdf["v"].tolist(), dtype=float).reshape(len(pdf), len(edges))
+            out = np.empty(v.shape, dtype=np.int32)
+            for c, e in enumerate(edges):
+                out[:, c] = 2 + np.searchsorted(np.array(e), v[:, c], side="right")
+            out[np.isinf(v)], out[np.isnan(v)] = 1, 0
+            yield pd.DataFrame({"table_name": pdf["table_name"], "idx": pdf["idx"], "fold": pdf["fold"], "bins": list(out)})
+
+    return run
+
+
+def binned(rows: DataFrame, table_name: str, columns: list[str], at: DataFrame, load: str, row_id: str) -> DataFrame:
+    """table_name, idx (number of the load), fold, bins array<int>: where each number lies among pooled quantiles."""
+    slim = rows.select(F.lit(table_name).alias("table_name"), F.col(load).alias("load"), F.pmod(F.xxhash64(row_id), F.lit(FOLDS)).cast("int").alias("fold"), F.array(*[F.col(f"`{c}`") for c in columns]).alias("v"))
+    return slim.join(F.broadcast(at), ["table_name", "load"]).mapInPandas(_binner(_edges(rows, columns)), "table_name string, idx int, fold int, bins array<int>")
 
 
 Weights = dict[tuple[str, int, int], np.ndarray]
@@ -174,17 +191,15 @@ def drift(tables: dict[str, tuple[DataFrame, list[str]]], load: str = "trading_d
 
     tables: name -> (rows, numeric columns). Rows are read ROUNDS + 1 times as small integers; the driver holds models only.
     """
-    parts = [binned(df, t, cols, load, row_id) for t, (df, cols) in tables.items()]
-    spark = parts[0].sparkSession
-    all_rows = parts[0]
-    for p in parts[1:]:
-        all_rows = all_rows.unionByName(p)
-    all_rows = all_rows.where("load is not null")
-    loads = sorted((r[0], r[1], r[2]) for r in all_rows.groupBy("table_name", "load").count().collect())
-    names = {t: [x for x in loads if x[0] == t] for t in tables}
+    spark = next(iter(tables.values()))[0].sparkSession
+    names = {t: sorted(r[0] for r in df.select(load).distinct().collect() if r[0] is not None) for t, (df, _) in tables.items()}
     last, width = {t: len(x) for t, x in names.items()}, {t: len(c) for t, (_, c) in tables.items()}
-    at = spark.createDataFrame([(t, x[1], i + 1) for t, l in names.items() for i, x in enumerate(l)], "table_name string, load string, idx int")
-    rows = materialize(all_rows.join(F.broadcast(at), ["table_name", "load"]).select("table_name", "idx", "fold", "bins"))
+    at = spark.createDataFrame([(t, x, i + 1) for t, l in names.items() for i, x in enumerate(l)], "table_name string, load string, idx int")
+    rows = None
+    for t, (df, cols) in tables.items():
+        part = binned(df, t, cols, at, load, row_id)
+        rows = part if rows is None else rows.unionByName(part)
+    rows = materialize(rows)
     weights: Weights = {}
     for _ in range(ROUNDS):
         for key, v in _summed(rows.mapInPandas(_gradients(weights, last, width), GRAD)).items():
@@ -203,7 +218,7 @@ def drift(tables: dict[str, tuple[DataFrame, list[str]]], load: str = "trading_d
         for c, name in enumerate(tables[t][1]):
             only, without = float(auc[1 + width[t] + c]), float(auc[1 + c])
             high = max(only, 0.5 + auc[0] - without) + SIGMAS * se
-            out.append((t, names[t][pair - 1][1], name, int(n[0]), int(n[1]), float(auc[0]), only, without, float(auc[0]) - without, bool(not high < LEAST_AUC)))
+            out.append((t, names[t][pair - 1], name, int(n[0]), int(n[1]), float(auc[0]), only, without, float(auc[0]) - without, bool(not high < LEAST_AUC)))
     return spark.createDataFrame(out, "table_name string, load string, column_name string, n_old long, n_new long, model_auc double, only_auc double, without_auc double, ablation double, candidate boolean")
 
 

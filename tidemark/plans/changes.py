@@ -147,14 +147,21 @@ def _watched_tables(spark: SparkSession, d: str) -> dict[str, tuple[DataFrame, l
     return out
 
 
+def _base(spark: SparkSession, d: str, wanted: dict[str, list[str]]) -> DataFrame:
+    counts = broken = None
+    for name, columns in wanted.items():
+        rows = table(spark, d, name).where(data_rows())
+        c, rules = quality.value_counts(rows, name, columns), _rules(name)
+        counts = c if counts is None else counts.unionByName(c)
+        if rules:
+            v = quality.rule_violations(rows, name, rules)
+            broken = v if broken is None else broken.unionByName(v)
+    return quality.base_profile(counts, broken)
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    tables = _watched_tables(spark, d)
-    base = None
-    for name, (rows, _) in tables.items():
-        watched = [c for t, c in WATCHED if t == name]
-        one = quality.base_profile(quality.value_counts(rows, name, watched), quality.rule_violations(rows, name, _rules(name)))
-        base = one if base is None else base.unionByName(one)
-    issues = quality.load_issues(base, quality.drift(tables), WATCHED)
+    base = _base(spark, d, {t: [c for u, c in WATCHED if u == t] for t, _ in WATCHED})
+    issues = quality.load_issues(base, quality.drift(_watched_tables(spark, d)), WATCHED)
     return issues.select("table_name", "column_name", F.col("load").alias("trading_date"), "issue")
 
 
@@ -163,13 +170,7 @@ PROFILED = ["analyst_price_targets", "recommendations", "estimates", "profile",
 
 def p3_profile(spark: SparkSession, d: str) -> DataFrame:
     """Every column of the large tables per trading_date."""
-    out = None
-    for name in PROFILED:
-        rows = table(spark, d, name).where(data_rows())
-        cols = [c for c in rows.columns if c != "trading_date"]
-        rules = _rules(name)
-        one = quality.base_profile(quality.value_counts(rows, name, cols), quality.rule_violations(rows, name, rules) if rules else None)
-        out = one if out is None else out.unionByName(one)
+    out = _base(spark, d, {name: [c for c in table(spark, d, name).columns if c != "trading_date"] for name in PROFILED})
     return out.select("table_name", F.col("load").alias("trading_date"), "column_name", "n_rows", "n_missing", "n_distinct", "least", "greatest", "mode_count", "median", "violations")
 
 
