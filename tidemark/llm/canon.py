@@ -201,6 +201,7 @@ def match(rows: DataFrame, fields: dict[str, str], lists: dict[str, list[tuple[i
 
 def with_ids(rows: DataFrame, fields: dict[str, str], lists: dict[str, list[tuple[int, str, str | None]]]) -> DataFrame:
     """rows with a column <field>_id for each field: the entry meant, 0 if none."""
+    rows = rows.drop(*[f"{f}_id" for f in fields])
     schema = ", ".join([*[f"`{c}` {t}" for c, t in rows.dtypes], *[f"`{f}_id` bigint" for f in fields]])
     return rows.mapInPandas(_columns(lists, fields), schema)
 

@@ -9,7 +9,8 @@ Paragraphs are what lies between runs of blank lines, numbered from 0. A paragra
 The document's language is that of the most characters of its prose paragraphs.
 
 Edge cases: null and blank texts and texts without prose have no language (null, confidence 0); ties go to the language that comes first in the
-document; texts are read whole, whatever their length; a label that names no known language counts as missing; repeated rows give repeated results.
+document; texts are read whole, whatever their length; a label that names no known language counts as missing; without any labelled text no
+document gets a language; repeated rows give repeated results.
 """
 
 from __future__ import annotations
@@ -182,6 +183,8 @@ def fit(docs: DataFrame, codes: list[str], sample_docs: int = SAMPLE_DOCS) -> np
         counts = sample.mapInPandas(_count(matrix, len(codes)), "lang int, bucket int, c long").groupBy("lang", "bucket").agg(F.sum("c").alias("c")).toPandas()
         table = np.zeros((BUCKETS, len(codes)))
         table[counts["bucket"].to_numpy(dtype=int), counts["lang"].to_numpy(dtype=int)] = counts["c"].to_numpy()
+        if not table.any():
+            return np.zeros((BUCKETS, len(codes)), dtype=np.float32)
         smooth = table + 0.05
         matrix = np.log(smooth / smooth.sum(axis=0))
     return matrix.astype(np.float32)
@@ -191,7 +194,7 @@ def _classify(matrix: np.ndarray, codes: list[str], with_segments: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = matrix
         for pdf in batches:
-            texts, where = _texts_of(pdf)
+            texts, where = _texts_of(pdf) if m.any() else ([], [])
             total, n = scores(texts, m)
             best = total.argmax(axis=1) if len(texts) else np.zeros(0, int)
             if len(texts):

@@ -6,7 +6,7 @@ programme over the available lengths, held as the bits of one integer, finds the
 these are removed and the next container is opened. A combination that leaves nothing free ends the search at once.
 
 Edge cases: null and negative sizes count as 0; items of size 0 join a container of their shard without taking space; ties of
-length go by id; capacities that are null or below 1 are left out; equal items are all packed; an empty table gives no rows.
+length go by id; items without an id can't be assigned and are left out; capacities that are null or below 1 are left out; equal items are all packed; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -91,6 +91,7 @@ def pack(sizes: list[int], capacity: int, seed: int = 7) -> list[int]:
 def pack_items(items: DataFrame, capacities: list[tuple[str, int]], item_id: str = "doc_id", size: str = "n_tokens", shard_items: int = SHARD_ITEMS) -> DataFrame:
     """run_name, container_id, item id, piece_no, piece_start, piece_size, capacity. Shards keep a task's group at about shard_items items."""
     runs = [(n, int(c)) for n, c in capacities if n is not None and c is not None and c >= 1]
+    items = items.where(F.col(item_id).isNotNull())
     n_items = items.count()
     shards = max(1, -(-n_items // shard_items))
     each = F.explode(F.array(*[F.struct(F.lit(n).alias("run_name"), F.lit(c).cast("long").alias("capacity")) for n, c in runs])) if runs else F.lit(None)

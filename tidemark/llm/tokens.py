@@ -7,7 +7,7 @@ import importlib.util
 import os
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 # Fixed value: the pattern that goes with the byte-level vocabularies
@@ -38,14 +38,13 @@ def encoder(path: str):
 def with_token_counts(docs: DataFrame, text: str = "text", vocabulary: str | None = None) -> DataFrame:
     """docs with n_tokens in place of the text; a null or empty text has none, a long one is counted whole."""
     path = vocabulary or default_vocabulary()
-    kept = [c for c in docs.columns if c != text]
-    schema = ", ".join([*[f"`{c}` {t}" for c, t in docs.dtypes if c != text], "n_tokens bigint"])
+    kept = [c for c in docs.columns if c not in (text, "n_tokens")]
+    schema = ", ".join([*[f"`{c}` {t}" for c, t in docs.dtypes if c in kept], "n_tokens bigint"])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for pdf in batches:
-            out = pdf[kept].copy()
-            out["n_tokens"] = [len(enc.encode_ordinary(x)) if x else 0 for x in pdf[text]]
-            yield out
+        for batch in batches:
+            sizes = [len(enc.encode_ordinary(x)) if x else 0 for x in batch.column(batch.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sizes, pa.int64())], names=[*kept, "n_tokens"])
 
-    return docs.mapInPandas(run, schema)
+    return docs.select(*[f"`{c}`" for c in kept], text).mapInArrow(run, schema)
