@@ -1,7 +1,7 @@
 """Mapping free-entered values to a canonical list: a trie of reference entries searched with a Levenshtein automaton.
 
 Every entry enters the trie by its name and by alias paths: its code, its name with customary abbreviations, its head alone where
-no other entry has the same head. Values and aliases are reduced to letters and digits, so that case, blanks, accents and
+no other entry has the same head (a head that several share names none of them). Values and aliases are reduced to letters and digits, so that case, blanks, accents and
 punctuation don't count, and decorations (a leading article, company forms, brackets, desks, "rating") are taken off. The automaton, a
 bit-parallel one with transpositions, walks the trie and returns all entries within a distance that depends on the length. The
 nearest wins, among equals the one whose alias is a full name, then the smallest id; a value with no entry within reach gets 0.
@@ -85,6 +85,7 @@ class Trie:
         heads: dict[str, set[int]] = {}
         for i, n, _ in entries:
             heads.setdefault(head(n), set()).add(i)
+        self.shared = {h for h, ids in heads.items() if len(ids) > 1}
         for i, n, c in entries:
             forms = aliases(n, c)
             if (h := head(n)) and h not in forms and len(heads[h]) == 1 and len(h) > 4:
@@ -133,6 +134,8 @@ class Trie:
             if v in self.exact:
                 p, i = min(self.exact[v])
                 return 0, p, i
+            if v in self.shared:
+                return None
         return min((x for v in tries if v for x in self.search(v)), default=None)
 
 
