@@ -22,6 +22,7 @@ an empty batch adds nothing; very long contents have more fingerprints; further
 from __future__ import annotations
 
 import bisect
+import gc
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,8 +48,9 @@ STORED = {
 def fingerprints(content: Column) -> Column:
     """Winnowed hashes of the k-grams of a text: array<bigint>, never empty."""
     grams = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(content) - (GRAM - 1))), lambda i: F.xxhash64(F.substr(content, i, F.lit(GRAM))))
-    windows = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(grams) - (WINDOW - 1)))
-    return F.array_distinct(F.transform(windows, lambda i: F.array_min(F.slice(grams, i, F.lit(WINDOW)))))
+    # Bound as a variable, the grams are hashed once and not again for every window
+    least = lambda g: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(g) - (WINDOW - 1))), lambda i: F.array_min(F.slice(g, i, F.lit(WINDOW))))
+    return F.transform(F.array(grams), lambda g: F.array_distinct(least(g)))[0]
 
 
 def bloom_word(fp: Column, words: int) -> Column:
@@ -110,13 +112,10 @@ def chunked(items: DataFrame, minutes: int) -> DataFrame:
     """Adds chunk: the day, or the first of a run of days that rows near midnight hold together."""
     edge = minutes * 60_000_000
     into = F.pmod(F.col("t"), F.lit(DAY))
-    near = items.where(F.col("clock") & ((into < edge) | (into >= DAY - edge)))
-    ends = near.where(into >= edge).select("akey", F.date_add("day", 1).alias("day")).distinct()
-    starts = near.where(into < edge).select("akey", "day").distinct()
-    bridged = starts.join(ends, ["akey", "day"], "left_semi")
-    w = Window.partitionBy("akey").orderBy("day")
-    runs = bridged.withColumn("run", F.date_sub("day", F.row_number().over(w)))
-    runs = runs.withColumn("chunk", F.date_sub(F.min("day").over(Window.partitionBy("akey", "run")), 1)).select("akey", "day", "chunk")
+    near = items.where(F.col("clock") & ((into < edge) | (into >= DAY - edge))).select("akey", F.when(into < edge, F.col("day")).otherwise(F.date_add("day", 1)).alias("day"), (into < edge).alias("after"))
+    bridged = near.groupBy("akey", "day").agg(F.bool_or("after").alias("a"), F.bool_or(~F.col("after")).alias("b")).where("a and b")
+    runs = bridged.select("akey", "day", F.date_sub("day", F.row_number().over(Window.partitionBy("akey").orderBy("day"))).alias("run"))
+    runs = runs.select("akey", "day", F.date_sub(F.min("day").over(Window.partitionBy("akey", "run")), 1).alias("chunk"))
     return items.join(runs, ["akey", "day"], "left").withColumn("chunk", F.coalesce("chunk", "day"))
 
 
@@ -131,20 +130,25 @@ class FingerprintStore:
         words = max(1024, expected_rows * 8 // PER_WORD)
         self.words = 1 << (words - 1).bit_length()
 
-    def read(self, part: str, first: int = 0) -> DataFrame:
-        return self.spark.read.schema(STORED[part]).parquet(*[f"{self.path}/{part}/b{k}" for k in range(first, self.batches)])
+    def read(self, part: str) -> DataFrame:
+        """What all batches so far added."""
+        return self.spark.read.schema(f"{STORED[part]}, b int").parquet(f"{self.path}/{part}").where(F.col("b") < self.batches).drop("b")
 
     def write(self, part: str, df: DataFrame) -> DataFrame:
-        at = f"{self.path}/{part}/b{self.batches}"
+        at = f"{self.path}/{part}/b={self.batches}"
         df.write.mode("overwrite").parquet(at)
         return self.spark.read.schema(STORED[part]).parquet(at)
 
+    def bloom(self) -> DataFrame:
+        """The filter as the last batch left it: one row per word that has bits."""
+        return self.spark.read.schema(STORED["bloom"]).parquet(f"{self.path}/bloom/b={self.batches - 1}")
+
     def may_know(self, contents: DataFrame) -> DataFrame:
-        """contents(ckey, fps) -> those whose fingerprints all pass the filter. Only words that are asked for are OR-ed over the batches."""
+        """contents(ckey, fps) -> those whose fingerprints all pass the filter."""
         asked = contents.select("ckey", F.size("fps").alias("n"), F.explode("fps").alias("fp")).withColumn("word", bloom_word(F.col("fp"), self.words))
-        seen = asked.join(self.read("bloom"), "word").groupBy("ckey", "n", "fp").agg(F.bit_or("bits").alias("bits"))
         mask = bloom_mask(F.col("fp"))
-        return seen.where(F.col("bits").bitwiseAND(mask) == mask).groupBy("ckey", "n").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") == F.col("n"))
+        passed = asked.join(self.bloom(), "word").where(F.col("bits").bitwiseAND(mask) == mask)
+        return passed.groupBy("ckey", "n").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") == F.col("n"))
 
     def covered(self, maybe: DataFrame) -> DataFrame:
         """ckey of those of which one stored content shares all fingerprints and has no others."""
@@ -164,7 +168,8 @@ class FingerprintStore:
         fresh = done.groupBy("akey", "day").agg(F.bool_and("new").alias("fresh"), F.bool_or(F.col("new") & (F.col("rid") == F.col("rep"))).alias("holds")).where("fresh and holds")
         content = fresh.select(_content(F.col("akey"), F.col("day")).alias("content")).select(F.xxhash64("content").alias("ckey"), fingerprints(F.col("content")).alias("fps"))
         fps = self.write("fps", content.select("ckey", F.size("fps").alias("n"), F.explode("fps").alias("fp")))
-        self.write("bloom", fps.select(bloom_word(F.col("fp"), self.words).alias("word"), bloom_mask(F.col("fp")).alias("m")).groupBy("word").agg(F.bit_or("m").alias("bits")))
+        bits = fps.select(bloom_word(F.col("fp"), self.words).alias("word"), bloom_mask(F.col("fp")).alias("bits"))
+        self.write("bloom", (bits.unionByName(self.bloom()) if self.batches else bits).groupBy("word").agg(F.bit_or("bits").alias("bits")))
         self.batches += 1
 
 
@@ -199,19 +204,19 @@ def dedupe_batches(rows: DataFrame, batch_col: str, batches: list, minutes: int
     if not batches:
         return spark.createDataFrame([], "row_id_a long, row_id_b long")
     path = scratch_path(spark, "store")
-    number = F.lit(-1)
-    for k, b in enumerate(batches):
-        number = F.when(F.col(batch_col).eqNullSafe(F.lit(b)), k).otherwise(number)
+    number = F.create_map(*[F.lit(x) for k, b in enumerate(batches) if b is not None for x in (b, k)], F.lit(""), F.lit(-1))
+    none = F.lit(batches.index(None) if None in batches else -1)
+    number = F.when(F.col(batch_col).isNull(), none).otherwise(F.coalesce(F.try_element_at(number, F.col(batch_col)), F.lit(-1)))
     keyed(rows).select("row_id", *SAME, "vkey", number.alias("batch")).write.partitionBy("batch").parquet(f"{path}/rows")
     schema = "row_id long, akey string, day date, t long, clock boolean, fg string, vkey long"
-    parts, all_rows = [], spark.read.schema(f"{schema}, batch int").parquet(f"{path}/rows")
+    all_rows = spark.read.schema(f"{schema}, batch int").parquet(f"{path}/rows")
     store = FingerprintStore(spark, path, all_rows.count())
     for k in range(len(batches)):
         take_up(store, all_rows.where(F.col("batch") == k).drop("batch"), minutes)
-        parts.append(spark.read.schema(STORED["settled"]).parquet(f"{path}/settled/b{k}").where("new").select(F.lit(k).alias("batch"), "vkey", "rep"))
-    reps = parts[0]
-    for p in parts[1:]:
-        reps = reps.unionByName(p)
+        # Shuffle files of a batch go when the driver's objects do; a long run of batches would else keep them all
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    reps = spark.read.schema(f"{STORED['settled']}, b int").parquet(f"{path}/settled").where("new").select(F.col("b").alias("batch"), "vkey", "rep")
     pairs = all_rows.select("batch", "vkey", "row_id").join(reps, ["batch", "vkey"]).where("row_id <> rep")
     out = materialize(pairs.select(F.col("rep").alias("row_id_a"), F.col("row_id").alias("row_id_b")))
     remove_path(spark, path)
