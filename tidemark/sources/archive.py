@@ -14,6 +14,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..functions.text import is_blank, utc_time
 from ..schemas import DATASET_CODES, EVENT_ALIASES, LEGACY_EVENT_COLUMNS, MARKET_DATASETS, SCHEMAS, SPELLINGS, known_at
+from ..session import materialize
 
 EVENT_DATASETS = ("upgrades_downgrades", "rating_events")
 
@@ -76,6 +77,9 @@ class Archive:
             for schema, days in groups.values():
                 raw = self.spark.read.schema(schema).option("basePath", f"{self.root}/{dataset}").parquet(*[f"{self.root}/{dataset}/date={d}" for d in days])
                 named = self._to_core(dataset, raw, schema)
+                if len({n.lower() for n in schema.fieldNames()}) < len(schema.fieldNames()):
+                    # Names that differ only in case can be planned in a case-sensitive session alone, so these old partitions are read here and now
+                    named = materialize(named)
                 out = named if out is None else out.unionByName(named, allowMissingColumns=True)
             return out
         finally:
