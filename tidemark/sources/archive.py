@@ -70,8 +70,9 @@ class Archive:
         jvm_case = self.spark.conf.get("spark.sql.caseSensitive", "false")
         self.spark.conf.set("spark.sql.caseSensitive", "true")
         try:
+            merged = self._merged(dataset, dates)
             for d in dates:
-                schema = self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/{dataset}/date={d}").schema
+                schema = merged or self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/{dataset}/date={d}").schema
                 groups.setdefault(schema.json(), (schema, []))[1].append(d)
             out = None
             for schema, days in groups.values():
@@ -85,6 +86,17 @@ class Archive:
         finally:
             self.spark.conf.set("spark.sql.caseSensitive", jvm_case)
 
+    def _merged(self, dataset: str, dates: list[str]) -> StructType | None:
+        """One schema for all partitions, from one job over their footers; None where types differ or names differ only in case."""
+        try:
+            schema = self.spark.read.option("mergeSchema", "true").parquet(*[f"{self.root}/{dataset}/date={d}" for d in dates]).schema
+        except Exception as e:  # noqa: BLE001
+            if "MERGE" not in str(e):
+                raise
+            return None
+        names = schema.fieldNames()
+        return schema if len({n.lower() for n in names}) == len(names) else None
+
     def _to_core(self, dataset: str, raw: DataFrame, schema: StructType) -> DataFrame:
         """Core columns with core types (a value that doesn't cast is null), every other column once, under its first spelling."""
         core, have = SCHEMAS[dataset], {f.name: f.dataType for f in schema.fields}
