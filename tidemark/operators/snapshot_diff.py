@@ -39,9 +39,9 @@ def latest_records(rows: DataFrame, table_name: str, key: Column, values: list[s
 
 def rounded(v: Column) -> Column:
     """Eight significant digits of a double and its exponent as one double: equal unless values differ by 1e-8 to 1e-7 or straddle a step."""
-    size = F.greatest(F.least(F.abs(v), F.lit(1e290)), F.lit(1e-290))
-    e = F.floor(F.log10(size)).cast("double")
-    return F.when(v == 0, F.lit(0.0)).when(F.abs(v) > 1e290, F.signum(v) * 1e18).otherwise(F.rint(F.signum(v) * size / F.pow(F.lit(10.0), e) * 1e7) * 1000 + e)
+    size = F.greatest(F.abs(v), F.lit(1e-300))
+    e = F.floor(F.log10(F.least(size, F.lit(1.7e308)))).cast("double")
+    return F.when(v == 0, F.lit(0.0)).when(F.abs(v) == float("inf"), F.signum(v) * 1e18).otherwise(F.rint(F.signum(v) * (size / F.pow(F.lit(10.0), e)) * 1e7) * 1000 + e)
 
 
 def hashed(records: DataFrame, buckets: int) -> DataFrame:
