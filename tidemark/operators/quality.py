@@ -21,9 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ..session import materialize
+from ..session import materialize, release
 
-QUANTILES, FOLDS, ROUNDS, SCORE_BINS = 10, 2, 6, 64
+QUANTILES, FOLDS, ROUNDS, SCORE_BINS = 10, 2, 4, 64
 #: Bins of a column: 0 missing, 1 not finite, then QUANTILES + 1 ranges.
 BINS = QUANTILES + 3
 #: A column is a candidate unless its upper confidence bound of discrimination is below this.
@@ -207,6 +207,7 @@ def drift(tables: dict[str, tuple[DataFrame, list[str]]], load: str = "trading_d
             w = weights.setdefault(key, np.zeros(len(g)))
             # All one-hot bins of a row move together, so a step is shared among the columns
             weights[key] = w + (g - 0.5 * w) / (h * (1 + width[key[0]]) ** 0.5 + 1.0)
+        release(spark)
     hist = _summed(rows.mapInPandas(_auc_hist(weights, last, width), GRAD))
     out = []
     for (t, pair, _), v in hist.items():

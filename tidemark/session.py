@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -47,6 +48,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what finished steps of a loop left: shuffle files and checkpoints go when the driver's objects do."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}/{name}"
