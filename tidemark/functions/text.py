@@ -20,8 +20,9 @@ def is_blank(c: Column) -> Column:
 
 
 def norm_symbol(c: Column | str) -> Column:
-    """Upper case, no blanks at the ends, class separator '-'. Null stays null."""
-    return F.regexp_replace(F.upper(strip(c)), r"[\s./_\-]+", "-")
+    """Upper case, no blanks at the ends, class separator '-'. Null stays null. A symbol that is plain already meets one pattern only."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.when(c.rlike("^[A-Z0-9]+(-[A-Z0-9]+)?$"), c).otherwise(F.regexp_replace(F.upper(strip(c)), r"[\s./_\-]+", "-"))
 
 
 def label_key(c: Column | str) -> Column:
@@ -32,7 +33,16 @@ def label_key(c: Column | str) -> Column:
 
 
 def utc_time(c: Column | str) -> Column:
-    """ISO date or time of any precision to TIMESTAMP. No zone means UTC, no time of day 00:00; unreadable gives null."""
+    """ISO date or time of any precision to TIMESTAMP. No zone means UTC, no time of day 00:00; unreadable gives null.
+
+    What is written in the usual form, ending in Z, is cast at once; patterns are for the rest.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    usual = F.when(c.endswith("Z") & (F.substring(c, 11, 1) == "T") & (F.substring(c, 5, 1) == "-"), c.try_cast("timestamp"))
+    return F.coalesce(usual, _utc_time(c))
+
+
+def _utc_time(c: Column) -> Column:
     s = strip(c)
     s = F.regexp_replace(s, r"^(\d{4})[/.](\d{2})[/.](\d{2})", "$1-$2-$3")
     s = F.regexp_replace(s, r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3")
@@ -48,9 +58,11 @@ def has_clock(c: Column | str) -> Column:
 
 def utc_day(c: Column | str) -> Column:
     """yyyy-MM-dd, yyyyMMdd or yyyy/MM/dd (a time may follow) to DATE; else null."""
+    c = F.col(c) if isinstance(c, str) else c
+    usual = F.when((F.length(c) == 10) & (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-"), c.try_cast("date"))
     s = strip(c)
     digits = F.regexp_replace(F.substring(s, 1, 10), r"[-/.]", "")
-    return F.when(s.rlike(r"^\d{4}[-/.]?\d{2}[-/.]?\d{2}($|[T ])"), F.try_to_timestamp(F.substring(digits, 1, 8), F.lit("yyyyMMdd")).cast("date"))
+    return F.coalesce(usual, F.when(s.rlike(r"^\d{4}[-/.]?\d{2}[-/.]?\d{2}($|[T ])"), F.try_to_timestamp(F.substring(digits, 1, 8), F.lit("yyyyMMdd")).cast("date")))
 
 
 def day_of(ts: Column) -> Column:
