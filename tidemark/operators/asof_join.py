@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..session import materialize
+
 #: Rows of one entity that a shard should hold.
 SHARD_ROWS = 50_000
 
@@ -31,6 +33,8 @@ def as_known(events: DataFrame, versions: DataFrame, shard_rows: int = SHARD_ROW
     """events(entity, t long micros, event_id) with the best of versions(entity, t, rank struct) known by then -> event_id, best."""
     events = events.where(F.col("entity").isNotNull() & F.col("t").isNotNull()).select("entity", "t", "event_id")
     versions = versions.where(F.col("entity").isNotNull() & F.col("t").isNotNull()).select("entity", "t", "rank")
+    # Both sides are read several times below; once materialised, their times needn't be parsed again
+    events, versions = materialize(events), materialize(versions)
     bounds = cuts(events, versions, shard_rows)
     # Best of each (entity, instant) first: copies and restatements collapse before the shuffle
     versions = versions.groupBy("entity", "t").agg(F.max("rank").alias("rank"))
