@@ -8,8 +8,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tests.oracle import connect
 from tidemark.functions.xxh import xxhash64
 from tidemark.operators import asof_join, history, panes, quality, snapshot_diff
+from tidemark.plans import changes
 
 NAN, INF = float("nan"), float("inf")
 
@@ -220,3 +222,11 @@ def test_quality_of_nothing(spark):
     df = _quality_rows(spark, 2, 5).where("false")
     assert quality.base_profile(quality.value_counts(df, "t", ["a", "num"])).count() == 0
     assert quality.drift({"t": (df, ["a", "b"])}).count() == 0
+
+
+def test_cases_of_the_sql_are_candidates(spark):
+    d = "/root/testdata/sf0.1"
+    want = {r[2] for r in connect(d).execute(changes.SQL["p3_found"]).fetchall() if r[0] == "profile" and r[3] != "range"}
+    drift = quality.drift({"profile": changes._watched_tables(spark, d)["profile"]}).where("column_name = 'shortPercentOfFloat'").collect()
+    assert want and want <= {r.load for r in drift if r.candidate}
+    assert all(r.only_auc > 0.65 for r in drift if r.load in want)

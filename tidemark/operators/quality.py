@@ -3,7 +3,7 @@
 Base aggregates come from one pass that counts every value of every column of every load, and a second over those counts: rows,
 missing, distinct, least, greatest, most frequent value, exact median, pattern violations. Beside them a distributed
 logistic regression learns, for each pair of consecutive loads, to tell the newer from the older one by one-hot bins of all numeric
-columns. It is cross-fitted in two folds; the area under the curve of each column's own part, and what the whole model loses
+columns, until it has converged. It is cross-fitted in two folds, with an area of its own for each; the area under the curve of each column's own part, and what the whole model loses
 without the column, say which columns' distributions moved. Where chance can't be told from a movement that matters, the column
 stays a candidate, and exact aggregates decide.
 
@@ -23,9 +23,10 @@ from pyspark.sql import Window
 
 from ..session import materialize, release
 
-QUANTILES, FOLDS, ROUNDS, SCORE_BINS = 10, 2, 4, 64
-#: Bins of a column: 0 missing, 1 not finite, then QUANTILES + 1 ranges.
-BINS = QUANTILES + 3
+QUANTILES, FOLDS, SCORE_BINS = 10, 2, 128
+#: Bins of a column: 0 missing, 1 not finite, then ranges.
+#: A model is fitted until its scaled squared gradient is below 0.01 and TOLERANCE a row, for MOST_ROUNDS evaluations at most; PENALTY of a squared weight.
+TOLERANCE, MOST_ROUNDS, PENALTY, PAIRS_AT_ONCE = 1e-6, 200, 0.25, 200
 #: A column is a candidate unless its upper confidence bound of discrimination is below this.
 LEAST_AUC, SIGMAS = 0.55, 2.5
 
@@ -95,131 +96,236 @@ def _edges(rows: DataFrame, columns: list[str]) -> list[list[float]]:
     return edges
 
 
-def _binner(edges: list[list[float]]):
+def _bins(v: np.ndarray, edges: list[list[float]]) -> np.ndarray:
+    out = np.empty(v.shape, dtype=np.uint8)
+    for c, e in enumerate(edges):
+        out[:, c] = 2 + np.searchsorted(np.array(e), v[:, c], side="right")
+    out[np.isinf(v)], out[np.isnan(v)] = 1, 0
+    return out
+
+
+def _binner(table_name: str, edges: dict[int, list[list[float]]]):
+    """Blocks of rows of one pair of loads, fold and label (1: newer load); bins has a byte per row and column."""
+
     def run(batches):
         for pdf in batches:
-            v = np.array(pdf["v"].tolist(), dtype=float).reshape(len(pdf), len(edges))
-            out = np.empty(v.shape, dtype=np.int32)
-            for c, e in enumerate(edges):
-                out[:, c] = 2 + np.searchsorted(np.array(e), v[:, c], side="right")
-            out[np.isinf(v)], out[np.isnan(v)] = 1, 0
-            yield pd.DataFrame({"table_name": pdf["table_name"], "idx": pdf["idx"], "fold": pdf["fold"], "bins": list(out)})
+            out = []
+            for (i, f), g in pdf.groupby(["idx", "fold"], sort=False):
+                v = np.array(g["v"].tolist(), dtype=float).reshape(len(g), -1)
+                out += [(table_name, pair, f, label, _bins(v, edges[pair]).tobytes()) for pair, label in ((i, 1), (i + 1, 0)) if pair in edges]
+            yield pd.DataFrame(out, columns=["table_name", "pair", "fold", "label", "bins"])
 
     return run
 
 
-def binned(rows: DataFrame, table_name: str, columns: list[str], at: DataFrame, load: str, row_id: str) -> DataFrame:
-    """table_name, idx (number of the load), fold, bins array<int>: where each number lies among pooled quantiles."""
+def binned(rows: DataFrame, table_name: str, columns: list[str], at: DataFrame, edges: dict[int, list[list[float]]], load: str, row_id: str) -> DataFrame:
+    """table_name, pair (number of its newer load), fold, label, bins: where each number lies among the pair's edges. A row is in the pair that it is the newer load of and in the next."""
     slim = rows.select(F.lit(table_name).alias("table_name"), F.col(load).alias("load"), F.pmod(F.xxhash64(row_id), F.lit(FOLDS)).cast("int").alias("fold"), F.array(*[F.col(f"`{c}`") for c in columns]).alias("v"))
-    return slim.join(F.broadcast(at), ["table_name", "load"]).mapInPandas(_binner(_edges(rows, columns)), "table_name string, idx int, fold int, bins array<int>")
+    return slim.join(F.broadcast(at), ["table_name", "load"]).mapInPandas(_binner(table_name, edges), "table_name string, pair int, fold int, label int, bins binary")
+
+
+Key = tuple[str, int, int]
+Weights = dict[Key, np.ndarray]
+#: First flat bin number of every column of a (table, pair), and their number
+Starts = dict[tuple[str, int], np.ndarray]
 
 
-Weights = dict[tuple[str, int, int], np.ndarray]
+def _blocks(pdf: pd.DataFrame, starts: Starts):
+    """(table, pair, fold, label, flat bin numbers) of a batch."""
+    for t, pair, fold, label, raw in pdf.itertuples(index=False):
+        at = starts[t, pair]
+        yield t, int(pair), int(fold), int(label), np.frombuffer(raw, dtype=np.uint8).reshape(-1, len(at) - 1) + at[:-1]
 
 
-def _flat(bins: np.ndarray) -> np.ndarray:
-    return bins + np.arange(bins.shape[1]) * BINS
+def _sent(sums: Weights):
+    for (t, pair, fold), x in sums.items():
+        yield pd.DataFrame({"table_name": [t], "pair": [pair], "fold": [fold], "x": [x.tobytes()]})
 
 
-def _pairs(pdf: pd.DataFrame, last: dict[str, int]):
-    """(table, pair of loads, fold, label, flat bin numbers) of a batch."""
-    for (t, i, f), g in pdf.groupby(["table_name", "idx", "fold"], sort=False):
-        flat = _flat(np.stack(g["bins"].to_numpy()).astype(np.int64))
-        for pair, label in ((i, 1), (i + 1, 0)):
-            if 2 <= pair <= last[t]:
-                yield t, int(pair), int(f), label, flat
+def _counts(starts: Starts):
+    """Per partition: how many rows of each label have which bin."""
+
+    def run(batches):
+        sums: Weights = {}
+        for pdf in batches:
+            for t, pair, fold, label, flat in _blocks(pdf, starts):
+                size = int(starts[t, pair][-1])
+                sums.setdefault((t, pair, fold), np.zeros((2, size)))[label] += np.bincount(flat.ravel(), minlength=size)
+        yield from _sent(sums)
+
+    return run
 
 
-def _gradients(weights: Weights, last: dict[str, int], width: dict[str, int]):
-    """Per partition: gradient and curvature of every model, which leaves out its own fold."""
+def _losses(trial: Weights, starts: Starts):
+    """Per partition: gradient and log loss of every model in trial, which leaves out its own fold."""
 
     def run(batches):
-        sums: dict[tuple[str, int, int], np.ndarray] = {}
+        sums: Weights = {}
         for pdf in batches:
-            for t, pair, fold, label, flat in _pairs(pdf, last):
-                for held in range(FOLDS):
-                    if held == fold:
-                        continue
-                    key, size = (t, pair, held), width[t] * BINS
-                    w = weights.get(key, np.zeros(size + 1))
-                    p = 1 / (1 + np.exp(-np.clip(w[flat].sum(axis=1) + w[size], -30, 30)))
-                    out = sums.setdefault(key, np.zeros((2, size + 1)))
-                    for k, x in ((0, label - p), (1, np.maximum(p * (1 - p), 1e-3))):
-                        out[k, :size] += np.bincount(flat.ravel(), np.repeat(x, flat.shape[1]), minlength=size)
-                        out[k, size] += x.sum()
-        for (t, pair, held), g in sums.items():
-            yield pd.DataFrame({"table_name": [t], "pair": [pair], "held": [held], "g": [g.ravel().tolist()]})
+            for t, pair, fold, label, flat in _blocks(pdf, starts):
+                for key in ((t, pair, held) for held in range(FOLDS) if held != fold and (t, pair, held) in trial):
+                    w, size = trial[key], int(starts[t, pair][-1])
+                    z = w[flat].sum(axis=1) + w[size]
+                    r = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - label
+                    out = sums.setdefault(key, np.zeros(size + 2))
+                    out[:size] += np.bincount(flat.ravel(), np.repeat(r, flat.shape[1]), minlength=size)
+                    out[size] += r.sum()
+                    out[size + 1] += (np.logaddexp(0, z) - label * z).sum()
+        yield from _sent(sums)
 
     return run
 
 
-def _auc_hist(weights: Weights, last: dict[str, int], width: dict[str, int]):
-    """Per partition: for every pair, label and part of the model, how many rows have which score. Part -1: all columns; c: without column c; C + c: column c alone."""
+def _auc_hist(weights: Weights, starts: Starts):
+    """Per partition: for every pair, fold, label and part of the model, how many rows have which score. Part 0: all columns; 1 + c: without column c."""
 
     def run(batches):
-        sums: dict[tuple[str, int], np.ndarray] = {}
+        sums: Weights = {}
         for pdf in batches:
-            for t, pair, fold, label, flat in _pairs(pdf, last):
-                c, size = width[t], width[t] * BINS
-                w = weights.get((t, pair, fold))
-                if w is None:
+            for t, pair, fold, label, flat in _blocks(pdf, starts):
+                if (t, pair, fold) not in weights:
                     continue
+                w, n = weights[t, pair, fold], 1 + flat.shape[1]
                 part = w[flat]
-                score = part.sum(axis=1) + w[size]
-                parts = np.concatenate([score[:, None], score[:, None] - part, part], axis=1)
+                score = part.sum(axis=1) + w[-1]
+                parts = np.concatenate([score[:, None], score[:, None] - part], axis=1)
                 at = np.minimum((SCORE_BINS / (1 + np.exp(-np.clip(parts, -30, 30)))).astype(np.int64), SCORE_BINS - 1)
-                hist = sums.setdefault((t, pair), np.zeros((2, (1 + 2 * c) * SCORE_BINS)))
-                hist[label] += np.bincount((at + np.arange(1 + 2 * c) * SCORE_BINS).ravel(), minlength=(1 + 2 * c) * SCORE_BINS)
-        for (t, pair), h in sums.items():
-            yield pd.DataFrame({"table_name": [t], "pair": [pair], "held": [0], "g": [h.ravel().tolist()]})
+                sums.setdefault((t, pair, fold), np.zeros((2, n * SCORE_BINS)))[label] += np.bincount((at + np.arange(n) * SCORE_BINS).ravel(), minlength=n * SCORE_BINS)
+        yield from _sent(sums)
 
     return run
 
 
-def _summed(df: DataFrame) -> dict[tuple[str, int, int], np.ndarray]:
-    """Vectors added up element by element in the JVM; models times width come to the driver, whatever the rows."""
-    rows = df.select("table_name", "pair", "held", F.posexplode("g").alias("i", "x")).groupBy("table_name", "pair", "held", "i").agg(F.sum("x").alias("x"))
-    got = rows.groupBy("table_name", "pair", "held").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v")).collect()
-    return {(r[0], r[1], r[2]): np.array([x[1] for x in r[3]]) for r in got}
-
-
-GRAD = "table_name string, pair int, held int, g array<double>"
+def _add(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pdf.iloc[:1].assign(x=[sum(np.frombuffer(x) for x in pdf["x"]).tobytes()])
+
+
+def _summed(rows: DataFrame, run) -> Weights:
+    """Vectors of the partitions added up by key; models times width come to the driver, whatever the rows."""
+    kind = "table_name string, pair int, fold int, x binary"
+    return {(r[0], r[1], r[2]): np.frombuffer(r[3]) for r in rows.mapInPandas(run, kind).groupBy("table_name", "pair", "fold").applyInPandas(_add, kind).collect()}
+
+
+class _Fit:
+    """Limited-memory BFGS of one model's penalised log loss, one evaluation at a time: `trial` is to be evaluated, `tell` takes the result. Weights are scaled by their bins' curvature at 0."""
+
+    def __init__(self, counts: np.ndarray, columns: int):
+        n = counts.sum(axis=1) / columns
+        self.n, self.columns = n.sum(), columns
+        self.scale = 1 / np.sqrt(np.append(0.25 * counts.sum(axis=0) + 2 * PENALTY, 0.25 * self.n + 2 * PENALTY))
+        self.u = np.zeros(len(self.scale))
+        self.u[-1] = np.log((n[1] + 0.5) / (n[0] + 0.5)) / self.scale[-1]
+        self.f, self.g, self.kept = np.inf, np.zeros_like(self.u), []
+        self.direction, self.step, self.done = np.zeros_like(self.u), 0.0, False
+
+    def trial(self) -> np.ndarray:
+        return (self.u + self.step * self.direction) * self.scale
+
+    def tell(self, x: np.ndarray) -> None:
+        w = self.trial()
+        f, g = x[-1] + PENALTY * (w[:-1] ** 2).sum(), (x[:-1] + 2 * PENALTY * np.append(w[:-1], 0)) * self.scale
+        if self.step and f > self.f + 1e-4 * self.step * (self.g @ self.direction) + 1e-12 * abs(self.f):
+            self.step /= 2
+            return
+        if self.step:
+            s, y = self.step * self.direction, g - self.g
+            if s @ y > 1e-12 * (y @ y):
+                self.kept = [*self.kept[-9:], (s, y)]
+            self.u = self.u + s
+        self.f, self.g = f, g
+        self.done = bool(g @ g <= 0.01 + TOLERANCE * self.n)
+        q, back = -g, []
+        for s, y in reversed(self.kept):
+            back.append((s @ q) / (s @ y))
+            q = q - back[-1] * y
+        # A row moves one bin of every column and the constant, so the curvature is at most 1 + columns
+        q = q * ((self.kept[-1][0] @ self.kept[-1][1]) / (self.kept[-1][1] @ self.kept[-1][1]) if self.kept else 1 / (1 + self.columns))
+        for (s, y), b in zip(self.kept, reversed(back), strict=True):
+            q = q + s * (b - (y @ q) / (s @ y))
+        self.direction, self.step = q, 1.0
+
+
+def _fitted(rows: DataFrame, counts: Weights, starts: Starts) -> dict[Key, _Fit]:
+    """Every model fitted until its gradient is lost in its rows' noise; those not done after MOST_ROUNDS say so."""
+    fits: dict[Key, _Fit] = {}
+    for t, pair in starts:
+        for held in range(FOLDS):
+            others = [counts[t, pair, f] for f in range(FOLDS) if f != held and (t, pair, f) in counts]
+            if others:
+                fits[t, pair, held] = _Fit(sum(others).reshape(2, -1), len(starts[t, pair]) - 1)
+    for k in range(MOST_ROUNDS):
+        trial = {key: m.trial() for key, m in fits.items() if not m.done}
+        if not trial:
+            break
+        for key, x in _summed(rows, _losses(trial, starts)).items():
+            fits[key].tell(x)
+        if k % 8 == 7:
+            release(rows.sparkSession)
+    return fits
+
+
+def _auc(n: np.ndarray, scores: np.ndarray | None = None) -> float:
+    """Area under the curve of counts by label and score; scores: of the counts' columns, which are in order where it is left out."""
+    if scores is not None:
+        level = np.unique(scores, return_inverse=True)[1]
+        n = np.stack([np.bincount(level, x) for x in n])
+    return float((n[1] * (np.cumsum(n[0]) - n[0] / 2)).sum() / (n[0].sum() * n[1].sum()))
+
+
+def _pairs_drift(tables: dict[str, tuple[DataFrame, list[str]]], names: dict[str, list[str]], pairs: list[tuple[str, int]], edges: dict[str, dict[int, list[list[float]]]], load: str, row_id: str) -> list[tuple]:
+    """What `drift` returns for some pairs."""
+    spark = next(iter(tables.values()))[0].sparkSession
+    rows, starts = None, {}
+    for t in dict.fromkeys(t for t, _ in pairs):
+        df, cols = tables[t]
+        mine = {p: edges[t][p] for u, p in pairs if u == t}
+        at = spark.createDataFrame([(t, names[t][i - 1], i) for i in sorted({*mine, *[p - 1 for p in mine]})], "table_name string, load string, idx int")
+        part = binned(df, t, cols, at, mine, load, row_id)
+        rows = part if rows is None else rows.unionByName(part)
+        starts |= {(t, p): np.cumsum([0, *[len(x) + 3 for x in e]]) for p, e in mine.items()}
+    rows = materialize(rows)
+    counts = {key: x.reshape(2, -1) for key, x in _summed(rows, _counts(starts)).items()}
+    fits = _fitted(rows, counts, starts)
+    weights = {key: m.u * m.scale for key, m in fits.items()}
+    hist = _summed(rows, _auc_hist(weights, starts))
+    out = []
+    for t, pair in pairs:
+        cols, at, folds = tables[t][1], starts[t, pair], []
+        for f in range(FOLDS):
+            if (t, pair, f) not in hist:
+                continue
+            h, c = hist[t, pair, f].reshape(2, 1 + len(cols), SCORE_BINS), counts[t, pair, f]
+            n = h[:, 0].sum(axis=1)
+            if n.all():
+                parts = [_auc(h[:, k]) for k in range(1 + len(cols))] + [_auc(c[:, i:j], weights[t, pair, f][i:j]) for i, j in zip(at[:-1], at[1:], strict=True)]
+                folds.append((n[0] * n[1], np.array(parts)))
+        # Scores of different models aren't comparable: each fold has an area of its own
+        auc = sum(x * a for x, a in folds) / sum(x for x, _ in folds) if folds else np.full(1 + 2 * len(cols), np.nan)
+        n = sum(counts[t, pair, f][:, at[0] : at[1]].sum(axis=1) for f in range(FOLDS) if (t, pair, f) in counts)
+        se = float(np.sqrt((n.sum() + 1) / (12 * max(1.0, sum(x for x, _ in folds) * FOLDS))))
+        done = all(fits[t, pair, f].done for f in range(FOLDS) if (t, pair, f) in fits)
+        for c, name in enumerate(cols):
+            only, without = float(auc[1 + len(cols) + c]), float(auc[1 + c])
+            high = max(only, 0.5 + float(auc[0]) - without) + SIGMAS * se
+            out.append((t, names[t][pair - 1], name, int(n[0]), int(n[1]), float(auc[0]), only, without, float(auc[0]) - without, bool(not (done and high < LEAST_AUC))))
+    return out
 
 
 def drift(tables: dict[str, tuple[DataFrame, list[str]]], load: str = "trading_date", row_id: str = "row_id") -> DataFrame:
     """table_name, load, column_name, n_old, n_new, model_auc, only_auc, without_auc, ablation, candidate for every pair of consecutive loads.
 
-    tables: name -> (rows, numeric columns). Rows are read ROUNDS + 1 times as small integers; the driver holds models only.
+    tables: name -> (rows, numeric columns). Rows are read as bytes once per evaluation of the models; the driver holds the models of PAIRS_AT_ONCE pairs.
+    A column of a model that didn't converge, or that can't be judged, stays a candidate.
     """
     spark = next(iter(tables.values()))[0].sparkSession
     names = {t: sorted(r[0] for r in df.select(load).distinct().collect() if r[0] is not None) for t, (df, _) in tables.items()}
-    last, width = {t: len(x) for t, x in names.items()}, {t: len(c) for t, (_, c) in tables.items()}
-    at = spark.createDataFrame([(t, x, i + 1) for t, l in names.items() for i, x in enumerate(l)], "table_name string, load string, idx int")
-    rows = None
-    for t, (df, cols) in tables.items():
-        part = binned(df, t, cols, at, load, row_id)
-        rows = part if rows is None else rows.unionByName(part)
-    rows = materialize(rows)
-    weights: Weights = {}
-    for _ in range(ROUNDS):
-        for key, v in _summed(rows.mapInPandas(_gradients(weights, last, width), GRAD)).items():
-            g, h = v.reshape(2, -1)
-            w = weights.setdefault(key, np.zeros(len(g)))
-            # All one-hot bins of a row move together, so a step is shared among the columns
-            weights[key] = w + (g - 0.5 * w) / (h * (1 + width[key[0]]) ** 0.5 + 1.0)
-        release(spark)
-    hist = _summed(rows.mapInPandas(_auc_hist(weights, last, width), GRAD))
+    pairs = [(t, i) for t, x in names.items() for i in range(2, len(x) + 1)]
+    pooled = {t: _edges(*tables[t]) for t in dict.fromkeys(t for t, _ in pairs)}
+    edges = {t: {i: e for u, i in pairs if u == t} for t, e in pooled.items()}
     out = []
-    for (t, pair, _), v in hist.items():
-        h = v.reshape(2, 1 + 2 * width[t], SCORE_BINS)
-        n = h[:, 0].sum(axis=1)
-        below = np.cumsum(h[0], axis=1) - h[0]
-        auc = ((h[1] * (below + h[0] / 2)).sum(axis=1) / (n[0] * n[1])) if n.all() else np.full(1 + 2 * width[t], np.nan)
-        se = float(np.sqrt(max(1e-12, (n.sum() + 1) / (12 * max(1.0, n[0] * n[1])))))
-        for c, name in enumerate(tables[t][1]):
-            only, without = float(auc[1 + width[t] + c]), float(auc[1 + c])
-            high = max(only, 0.5 + auc[0] - without) + SIGMAS * se
-            out.append((t, names[t][pair - 1], name, int(n[0]), int(n[1]), float(auc[0]), only, without, float(auc[0]) - without, bool(not high < LEAST_AUC)))
+    for k in range(0, len(pairs), PAIRS_AT_ONCE):
+        out += _pairs_drift(tables, names, pairs[k : k + PAIRS_AT_ONCE], edges, load, row_id)
+        release(spark)
     return spark.createDataFrame(out, "table_name string, load string, column_name string, n_old long, n_new long, model_auc double, only_auc double, without_auc double, ablation double, candidate boolean")
 
 
