@@ -230,3 +230,21 @@ def test_cases_of_the_sql_are_candidates(spark):
     drift = quality.drift({"profile": changes._watched_tables(spark, d)["profile"]}).where("column_name = 'shortPercentOfFloat'").collect()
     assert want and want <= {r.load for r in drift if r.candidate}
     assert all(r.only_auc > 0.65 for r in drift if r.load in want)
+
+
+def test_issues_do_not_depend_on_other_loads(spark):
+    rng = random.Random(5)
+    rows = []
+    for d in range(24):
+        for i in range(600):
+            v, w = rng.gauss(50, 10), rng.gauss(5, 1)
+            a, b = v * (100 if d == 22 else 500 if d == 23 else 1), w * (100 if d >= 22 else 1)
+            # c's median crosses the gap between its two values by few rows
+            rows.append((i + 1000 * d, f"d{d:02}", a, 700.0 if d == 23 and i % 5 < 2 else b, float("inf") if d == 23 and i % 5 < 2 else w, 1.0 if i < (299 if d == 23 else 301) else 10.0))
+    df = spark.createDataFrame(rows, "row_id long, trading_date string, a double, b double, e double, c double")
+    found = []
+    for part in (df, df.where("trading_date >= 'd22'")):
+        cols = ["a", "b", "e", "c"]
+        base = quality.base_profile(quality.value_counts(part, "t", cols))
+        found.append({(r.column_name, r.load, r.issue) for r in quality.load_issues(base, quality.drift({"t": (part, cols)}), [("t", c) for c in cols]).collect() if r.load == "d23"})
+    assert found[0] == found[1] == {("a", "d23", "level"), ("b", "d23", "heaping"), ("e", "d23", "heaping"), ("c", "d23", "level")}

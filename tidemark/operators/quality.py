@@ -4,8 +4,8 @@ Base aggregates come from one pass that counts every value of every column of ev
 missing, distinct, least, greatest, most frequent value, exact median, pattern violations. Beside them a distributed
 logistic regression learns, for each pair of consecutive loads, to tell the newer from the older one by one-hot bins of all numeric
 columns, until it has converged. It is cross-fitted in two folds, with an area of its own for each; the area under the curve of each column's own part, and what the whole model loses
-without the column, say which columns' distributions moved. Where chance can't be told from a movement that matters, the column
-stays a candidate, and exact aggregates decide.
+without the column, say which columns' distributions moved. Bins are those of the two loads alone, so that other loads don't matter.
+Where a movement that matters can't be excluded, exact aggregates decide.
 
 Edge cases: null and NaN are missing, infinities are values but not finite; marker rows are left out beforehand; a load without
 finite values has no median; the first load has nothing to be compared with; ties of the most frequent value don't change its share;
@@ -24,11 +24,12 @@ from pyspark.sql import Window
 from ..session import materialize, release
 
 QUANTILES, FOLDS, SCORE_BINS = 10, 2, 128
-#: Bins of a column: 0 missing, 1 not finite, then ranges.
-#: A model is fitted until its scaled squared gradient is below 0.01 and TOLERANCE a row, for MOST_ROUNDS evaluations at most; PENALTY of a squared weight.
+#: A model is fitted until its scaled squared gradient is below 1 and TOLERANCE a row, for MOST_ROUNDS evaluations at most; PENALTY of a squared weight.
 TOLERANCE, MOST_ROUNDS, PENALTY, PAIRS_AT_ONCE = 1e-6, 200, 0.25, 200
-#: A column is a candidate unless its upper confidence bound of discrimination is below this.
-LEAST_AUC, SIGMAS = 0.55, 2.5
+#: What is an issue: the missing share's rise, the median's factor, the rise of the most frequent value's share.
+NULLS, LEVEL, HEAPING, SIGMAS = 0.2, 3.0, 0.25, 2.5
+#: Bins of a column: missing, minus and plus infinity, then ranges. QUANTILES must meet a value of a share above HEAPING twice, so that it has a bin of its own.
+FIRST_RANGE = 3
 
 
 def value_counts(rows: DataFrame, table_name: str, columns: list[str], load: str = "trading_date") -> DataFrame:
@@ -86,21 +87,26 @@ def rule_violations(rows: DataFrame, table_name: str, rules: dict[str, Column],
     return aggs.select(F.lit(table_name).alias("table_name"), "load", F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("violations")) for c in rules])).alias("x")).select("table_name", "load", "x.*")
 
 
-def _edges(rows: DataFrame, columns: list[str]) -> list[list[float]]:
-    """Pooled quantiles of each column's finite values; as many numbers as columns times QUANTILES come to the driver."""
-    long = rows.select(F.posexplode(F.array(*[F.col(f"`{c}`") for c in columns])).alias("i", "v")).where("v is not null and not isnan(v) and abs(v) < double('infinity')")
-    got = long.groupBy("i").agg(F.percentile_approx("v", [(i + 1) / (QUANTILES + 1) for i in range(QUANTILES)], 2000).alias("q")).collect()
-    edges: list[list[float]] = [[] for _ in columns]
+def _numbers(columns: list[str]) -> Column:
+    return F.array(*[F.round(F.col(f"`{c}`").cast("double"), 6) for c in columns])
+
+
+def _edges(rows: DataFrame, columns: list[str], load: str, loads: list[str]) -> dict[int, list[list[float]]]:
+    """By number of the newer load: edges of each column's bins, from the quantiles of the pair's own two loads. A value that is two quantiles of a load has a bin of its own. Loads times columns times QUANTILES numbers come to the driver."""
+    long = rows.where(F.col(load).isin(loads)).select(F.col(load).alias("load"), F.posexplode(_numbers(columns)).alias("i", "v")).where("v is not null and not isnan(v) and abs(v) < double('infinity')")
+    got = long.groupBy("load", "i").agg(F.percentile_approx("v", [(i + 1) / (QUANTILES + 1) for i in range(QUANTILES)], 2000).alias("q")).collect()
+    own: dict[tuple[str, int], set[float]] = {}
     for r in got:
-        edges[r["i"]] = sorted(set(r["q"]))
-    return edges
+        q = r["q"]
+        own[r["load"], r["i"]] = {*q, *[float(np.nextafter(x, np.inf)) for x, y in zip(q, q[1:]) if x == y]}
+    return {i: [sorted(own.get((loads[i - 2], c), set()) | own.get((loads[i - 1], c), set())) for c in range(len(columns))] for i in range(2, len(loads) + 1)}
 
 
 def _bins(v: np.ndarray, edges: list[list[float]]) -> np.ndarray:
     out = np.empty(v.shape, dtype=np.uint8)
     for c, e in enumerate(edges):
-        out[:, c] = 2 + np.searchsorted(np.array(e), v[:, c], side="right")
-    out[np.isinf(v)], out[np.isnan(v)] = 1, 0
+        out[:, c] = FIRST_RANGE + np.searchsorted(np.array(e), v[:, c], side="right")
+    out[np.isnan(v)], out[np.isneginf(v)], out[np.isposinf(v)] = 0, 1, 2
     return out
 
 
@@ -120,7 +126,7 @@ def _binner(table_name: str, edges: dict[int, list[list[float]]]):
 
 def binned(rows: DataFrame, table_name: str, columns: list[str], at: DataFrame, edges: dict[int, list[list[float]]], load: str, row_id: str) -> DataFrame:
     """table_name, pair (number of its newer load), fold, label, bins: where each number lies among the pair's edges. A row is in the pair that it is the newer load of and in the next."""
-    slim = rows.select(F.lit(table_name).alias("table_name"), F.col(load).alias("load"), F.pmod(F.xxhash64(row_id), F.lit(FOLDS)).cast("int").alias("fold"), F.array(*[F.col(f"`{c}`") for c in columns]).alias("v"))
+    slim = rows.select(F.lit(table_name).alias("table_name"), F.col(load).alias("load"), F.pmod(F.xxhash64(row_id), F.lit(FOLDS)).cast("int").alias("fold"), _numbers(columns).alias("v"))
     return slim.join(F.broadcast(at), ["table_name", "load"]).mapInPandas(_binner(table_name, edges), "table_name string, pair int, fold int, label int, bins binary")
 
 
@@ -233,7 +239,7 @@ class _Fit:
                 self.kept = [*self.kept[-9:], (s, y)]
             self.u = self.u + s
         self.f, self.g = f, g
-        self.done = bool(g @ g <= 0.01 + TOLERANCE * self.n)
+        self.done = bool(g @ g <= 1 + TOLERANCE * self.n)  # chance alone makes it about as large as there are bins
         q, back = -g, []
         for s, y in reversed(self.kept):
             back.append((s @ q) / (s @ y))
@@ -272,17 +278,24 @@ def _auc(n: np.ndarray, scores: np.ndarray | None = None) -> float:
     return float((n[1] * (np.cumsum(n[0]) - n[0] / 2)).sum() / (n[0].sum() * n[1].sum()))
 
 
-def _pairs_drift(tables: dict[str, tuple[DataFrame, list[str]]], names: dict[str, list[str]], pairs: list[tuple[str, int]], edges: dict[str, dict[int, list[list[float]]]], load: str, row_id: str) -> list[tuple]:
+def least_auc(moved: float | Column) -> float | Column:
+    """The least area that a column's best score has where so large a share of the rows moved between bins: half of it above 1/2, as the best score's curve is concave. A hair less, for rounding."""
+    return 0.5 + moved / 2 - 1e-9
+
+
+def _pairs_drift(tables: dict[str, tuple[DataFrame, list[str]]], names: dict[str, list[str]], pairs: list[tuple[str, int]], load: str, row_id: str) -> list[tuple]:
     """What `drift` returns for some pairs."""
     spark = next(iter(tables.values()))[0].sparkSession
     rows, starts = None, {}
     for t in dict.fromkeys(t for t, _ in pairs):
         df, cols = tables[t]
-        mine = {p: edges[t][p] for u, p in pairs if u == t}
+        wanted = [p for u, p in pairs if u == t]
+        first = wanted[0] - 2  # the pairs of a table follow one another
+        mine = {p + first: e for p, e in _edges(df, cols, load, names[t][first : wanted[-1]]).items()}
         at = spark.createDataFrame([(t, names[t][i - 1], i) for i in sorted({*mine, *[p - 1 for p in mine]})], "table_name string, load string, idx int")
         part = binned(df, t, cols, at, mine, load, row_id)
         rows = part if rows is None else rows.unionByName(part)
-        starts |= {(t, p): np.cumsum([0, *[len(x) + 3 for x in e]]) for p, e in mine.items()}
+        starts |= {(t, p): np.cumsum([0, *[len(x) + FIRST_RANGE + 1 for x in e]]) for p, e in mine.items()}
     rows = materialize(rows)
     counts = {key: x.reshape(2, -1) for key, x in _summed(rows, _counts(starts)).items()}
     fits = _fitted(rows, counts, starts)
@@ -301,47 +314,53 @@ def _pairs_drift(tables: dict[str, tuple[DataFrame, list[str]]], names: dict[str
                 folds.append((n[0] * n[1], np.array(parts)))
         # Scores of different models aren't comparable: each fold has an area of its own
         auc = sum(x * a for x, a in folds) / sum(x for x, _ in folds) if folds else np.full(1 + 2 * len(cols), np.nan)
-        n = sum(counts[t, pair, f][:, at[0] : at[1]].sum(axis=1) for f in range(FOLDS) if (t, pair, f) in counts)
+        both = sum(counts[t, pair, f] for f in range(FOLDS) if (t, pair, f) in counts)
+        n = both[:, at[0] : at[1]].sum(axis=1)
         se = float(np.sqrt((n.sum() + 1) / (12 * max(1.0, sum(x for x, _ in folds) * FOLDS))))
         done = all(fits[t, pair, f].done for f in range(FOLDS) if (t, pair, f) in fits)
         for c, name in enumerate(cols):
             only, without = float(auc[1 + len(cols) + c]), float(auc[1 + c])
+            mine = both[:, at[c] : at[c + 1]]
+            best = _auc(mine, mine[1] / np.maximum(mine.sum(axis=0), 1))
             high = max(only, 0.5 + float(auc[0]) - without) + SIGMAS * se
-            out.append((t, names[t][pair - 1], name, int(n[0]), int(n[1]), float(auc[0]), only, without, float(auc[0]) - without, bool(not (done and high < LEAST_AUC))))
+            reach = max(best, high) if done and folds else 1.0
+            given = 1 - mine[:, 0] / n
+            out.append((t, names[t][pair - 1], name, int(n[0]), int(n[1]), float(auc[0]), only, without, float(auc[0]) - without, reach, bool(reach >= min(least_auc(NULLS), least_auc(HEAPING * given.min())))))
     return out
 
 
 def drift(tables: dict[str, tuple[DataFrame, list[str]]], load: str = "trading_date", row_id: str = "row_id") -> DataFrame:
-    """table_name, load, column_name, n_old, n_new, model_auc, only_auc, without_auc, ablation, candidate for every pair of consecutive loads.
+    """table_name, load, column_name, n_old, n_new, model_auc, only_auc, without_auc, ablation, reach, candidate for every pair of consecutive loads.
 
     tables: name -> (rows, numeric columns). Rows are read as bytes once per evaluation of the models; the driver holds the models of PAIRS_AT_ONCE pairs.
-    A column of a model that didn't converge, or that can't be judged, stays a candidate.
+    reach: what the column's discrimination may be at most: the area of the best score of its bins, or the upper confidence bound of the model's; 1 where a model didn't converge or can't be judged.
+    candidate: more values may have gone missing or be the same one than the rules allow. A median may move by any factor with a single row, so nothing speaks against a change of level.
     """
     spark = next(iter(tables.values()))[0].sparkSession
     names = {t: sorted(r[0] for r in df.select(load).distinct().collect() if r[0] is not None) for t, (df, _) in tables.items()}
     pairs = [(t, i) for t, x in names.items() for i in range(2, len(x) + 1)]
-    pooled = {t: _edges(*tables[t]) for t in dict.fromkeys(t for t, _ in pairs)}
-    edges = {t: {i: e for u, i in pairs if u == t} for t, e in pooled.items()}
     out = []
     for k in range(0, len(pairs), PAIRS_AT_ONCE):
-        out += _pairs_drift(tables, names, pairs[k : k + PAIRS_AT_ONCE], edges, load, row_id)
+        out += _pairs_drift(tables, names, pairs[k : k + PAIRS_AT_ONCE], load, row_id)
         release(spark)
-    return spark.createDataFrame(out, "table_name string, load string, column_name string, n_old long, n_new long, model_auc double, only_auc double, without_auc double, ablation double, candidate boolean")
+    return spark.createDataFrame(out, "table_name string, load string, column_name string, n_old long, n_new long, model_auc double, only_auc double, without_auc double, ablation double, reach double, candidate boolean")
 
 
-def load_issues(base: DataFrame, moved: DataFrame, columns: list[tuple[str, str]], nulls: float = 0.2, level: float = 3.0, heaping: float = 0.25) -> DataFrame:
-    """table_name, column_name, load, issue. Changes against the load before are looked for where the classifier leaves a column as a candidate."""
+def load_issues(base: DataFrame, moved: DataFrame, columns: list[tuple[str, str]], nulls: float = NULLS, level: float = LEVEL, heaping: float = HEAPING) -> DataFrame:
+    """table_name, column_name, load, issue. Nulls and heaping are looked for where the classifier can't exclude them, changes of level everywhere."""
     wanted = F.lit(False)
     for t, c in columns:
         wanted = wanted | ((F.col("table_name") == t) & (F.col("column_name") == c))
     w = Window.partitionBy("table_name", "column_name").orderBy("load")
     b = base.where(wanted).select("table_name", "column_name", "load", "missing_share", "median", "mode_share", "violations", *[F.lag(x).over(w).alias(f"{x}_0") for x in ("missing_share", "median", "mode_share")])
-    b = b.join(moved.select("table_name", "column_name", "load", "candidate"), ["table_name", "column_name", "load"], "left").withColumn("candidate", F.coalesce("candidate", F.lit(False)))
+    b = b.join(moved.select("table_name", "column_name", "load", "reach"), ["table_name", "column_name", "load"], "left").withColumn("reach", F.coalesce("reach", F.lit(1.0)))
+    # A share of the given values is a smaller share of the rows
+    given = 1 - F.greatest("missing_share", "missing_share_0")
     tests = [
         (F.col("violations") > 0, "range"),
-        (F.col("candidate") & (F.col("missing_share") - F.col("missing_share_0") > nulls), "nulls"),
-        (F.col("candidate") & ((F.col("median") > level * F.col("median_0")) | (F.col("median") < F.col("median_0") / level)), "level"),
-        (F.col("candidate") & (F.col("mode_share") - F.col("mode_share_0") > heaping), "heaping"),
+        ((F.col("reach") >= least_auc(nulls)) & (F.col("missing_share") - F.col("missing_share_0") > nulls), "nulls"),
+        ((F.col("median") > level * F.col("median_0")) | (F.col("median") < F.col("median_0") / level), "level"),
+        ((F.col("reach") >= least_auc(heaping * given)) & (F.col("mode_share") - F.col("mode_share_0") > heaping), "heaping"),
     ]
     return b.select("table_name", "column_name", "load", F.explode(F.array_compact(F.array(*[F.when(t, F.lit(n)) for t, n in tests]))).alias("issue"))
 
