@@ -248,3 +248,17 @@ def test_issues_do_not_depend_on_other_loads(spark):
         base = quality.base_profile(quality.value_counts(part, "t", cols))
         found.append({(r.column_name, r.load, r.issue) for r in quality.load_issues(base, quality.drift({"t": (part, cols)}), [("t", c) for c in cols]).collect() if r.load == "d23"})
     assert found[0] == found[1] == {("a", "d23", "level"), ("b", "d23", "heaping"), ("e", "d23", "heaping"), ("c", "d23", "level")}
+
+
+def test_profile_covers_every_table_and_text(spark):
+    d = "/root/testdata/sf0.001"
+    got = changes.p3_profile(spark, d).toPandas()
+    assert set(got.table_name) == set(changes.PROFILED) >= {"finra_short_volume", "cftc_tff_positioning"}
+    n = {t: connect(d).execute(f"SELECT count(*) FROM {t}").fetchone()[0] for t in ("finra_short_volume", "cftc_tff_positioning")}
+    assert got[got.column_name == "source_date"].groupby("table_name").n_rows.sum().to_dict() == n
+    grade = got[got.column_name == "GradeDate"]
+    bad = changes.table(spark, d, "upgrades_downgrades").where(changes.data_rows() & F.col("GradeDate").rlike("[A-Za-z]{3}")).count()
+    assert grade.violations.sum() >= bad and grade.first_text.notna().all()
+    assert got[(got.table_name == "estimates") & (got.column_name == "avg")].violations.isna().all()
+    texts = got[got.first_text.notna() & ~got.column_name.isin(["no_analyst_coverage"])]
+    assert texts.violations.notna().all()

@@ -67,7 +67,7 @@ def median_of(counts: DataFrame) -> DataFrame:
 
 
 def base_profile(counts: DataFrame, violations: DataFrame | None = None) -> DataFrame:
-    """One row per (table, load, column) with the base aggregates."""
+    """One row per (table, load, column) with the base aggregates; violations are null where no rule is checked."""
     keys = ["table_name", "load", "column_name"]
     missing = F.when(F.col("number"), F.col("num").isNull()).otherwise(F.col("txt").isNull() | F.col("txt").rlike(r"^\s*$"))
     given = ~missing
@@ -77,7 +77,7 @@ def base_profile(counts: DataFrame, violations: DataFrame | None = None) -> Data
         F.min(F.when(given, F.col("txt"))).alias("first_text"), F.max(F.when(given, F.col("txt"))).alias("last_text"),
     )
     out = agg.join(median_of(counts), keys, "left")
-    out = out.join(violations, keys, "left").withColumn("violations", F.coalesce("violations", F.lit(0))) if violations is not None else out.withColumn("violations", F.lit(0).cast("long"))
+    out = out.join(violations, keys, "left") if violations is not None else out.withColumn("violations", F.lit(None).cast("long"))
     return out.withColumn("missing_share", F.col("n_missing") / F.col("n_rows")).withColumn("mode_share", F.coalesce(F.try_divide("mode_count", F.col("n_rows") - F.col("n_missing")), F.lit(0.0)))
 
 

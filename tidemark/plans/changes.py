@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import data_rows, day_of, norm_symbol, present, utc_day, utc_time
+from ..functions.text import data_rows, day_of, is_blank, norm_symbol, present, strip, utc_day, utc_time
 from ..operators import asof_join, history, panes, quality, snapshot_diff
 from ..session import table
 
@@ -139,6 +139,28 @@ def _rules(name: str) -> dict:
     return {}
 
 
+#: What a text of these columns looks like without blanks at its ends; any other text has a letter or digit and no control or replacement character.
+PATTERNS = {"source_sha256": "^[0-9a-f]{64}$", "source_url": r"^https?://\S+$", "currency": "^[A-Za-z]{3}$", "financialCurrency": "^[A-Za-z]{3}$", "lastSplitFactor": r"^\d+(\.\d+)?[:/]\d+(\.\d+)?$", "run_id": r"^run_\d{8}T\d{6}Z$"}
+
+
+def _text_rule(name: str, c: str):
+    """True where a text that is not blank breaks its column's pattern."""
+    v = F.col(f"`{c}`")
+    if c in ("GradeDate", "snapshot_utc"):
+        bad = utc_time(v).isNull()
+    elif c == "source_date":
+        bad = utc_day(v).isNull()
+    elif c == "symbol":
+        bad = ~norm_symbol(v).rlike("^[A-Z0-9]+(-[A-Z0-9]+)?$")
+    elif c == "dataset":
+        bad = strip(v) != name
+    elif c in PATTERNS:
+        bad = ~strip(v).rlike(PATTERNS[c])
+    else:
+        bad = ~v.rlike(r"[\p{L}\p{N}]") | v.rlike(r"[\p{Cntrl}\x{FFFD}]")
+    return ~is_blank(v) & bad
+
+
 def _watched_tables(spark: SparkSession, d: str) -> dict[str, tuple[DataFrame, list[str]]]:
     out = {}
     for name in dict.fromkeys(t for t, _ in WATCHED):
@@ -148,13 +170,20 @@ def _watched_tables(spark: SparkSession, d: str) -> dict[str, tuple[DataFrame, l
 
 
 def _base(spark: SparkSession, d: str, wanted: dict[str, list[str]]) -> DataFrame:
+    """Loads are trading_dates, for tables without one the days of source_date (as written where unreadable, '' where missing)."""
     counts = broken = None
     for name, columns in wanted.items():
-        rows = table(spark, d, name).where(data_rows())
-        c, rules = quality.value_counts(rows, name, columns), _rules(name)
+        rows, load = table(spark, d, name), "trading_date"
+        if "no_analyst_coverage" in rows.columns:
+            rows = rows.where(data_rows())
+        if load not in rows.columns:
+            load, rows = "load", rows.withColumn("load", F.coalesce(utc_day("source_date").cast("string"), strip("source_date"), F.lit("")))
+        kinds = dict(rows.dtypes)
+        c = quality.value_counts(rows, name, columns, load)
+        rules = {c: _text_rule(name, c) for c in columns if kinds[c] == "string"} | {c: r for c, r in _rules(name).items() if c in columns}
         counts = c if counts is None else counts.unionByName(c)
         if rules:
-            v = quality.rule_violations(rows, name, rules)
+            v = quality.rule_violations(rows, name, rules, load)
             broken = v if broken is None else broken.unionByName(v)
     return quality.base_profile(counts, broken)
 
@@ -165,13 +194,13 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return issues.select("table_name", "column_name", F.col("load").alias("trading_date"), "issue")
 
 
-PROFILED = ["analyst_price_targets", "recommendations", "estimates", "profile", "upgrades_downgrades"]
+PROFILED = ["analyst_price_targets", "recommendations", "estimates", "profile", "upgrades_downgrades", "finra_short_volume", "cftc_tff_positioning"]
 
 
 def p3_profile(spark: SparkSession, d: str) -> DataFrame:
-    """Every column of the large tables per trading_date."""
+    """Every column of the large tables per trading_date (FINRA and CFTC: source_date). violations is null where no rule is checked."""
     out = _base(spark, d, {name: [c for c in table(spark, d, name).columns if c != "trading_date"] for name in PROFILED})
-    return out.select("table_name", F.col("load").alias("trading_date"), "column_name", "n_rows", "n_missing", "n_distinct", "least", "greatest", "mode_count", "median", "violations")
+    return out.select("table_name", F.col("load").alias("trading_date"), "column_name", "n_rows", "n_missing", "n_distinct", "least", "greatest", "first_text", "last_text", "mode_count", "median", "violations")
 
 
 def p3_drift(spark: SparkSession, d: str) -> DataFrame:
