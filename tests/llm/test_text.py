@@ -228,3 +228,14 @@ def test_tokens_are_whole_texts(spark):
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_run(spark, name):
     assert queries.QUERIES[name](spark, DATA).count() > 0
+
+
+def test_more_capacities_than_allowed_are_refused(spark, tmp_path):
+    import pytest
+
+    from tidemark.llm import queries
+
+    spark.range(1001).selectExpr("concat('r', id) AS run_name", "id + 100 AS capacity_tokens").write.parquet(f"{tmp_path}/pack_capacities.parquet")
+    spark.createDataFrame([(1, "s", "text")], "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    with pytest.raises(ValueError, match="1000"):
+        queries.p8_packed(spark, str(tmp_path))

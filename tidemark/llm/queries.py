@@ -61,7 +61,9 @@ def _sized(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_packed(spark: SparkSession, d: str) -> DataFrame:
-    caps = [(r[0], r[1]) for r in table(spark, d, "pack_capacities").select("run_name", "capacity_tokens").limit(1000).collect()]
+    caps = [(r[0], r[1]) for r in table(spark, d, "pack_capacities").select("run_name", "capacity_tokens").limit(1001).collect()]
+    if len(caps) > 1000:
+        raise ValueError("more than 1000 capacities")
     return packing.pack_items(_sized(spark, d).select("doc_id", "n_tokens"), caps)
 
 
