@@ -35,11 +35,13 @@ def label_key(c: Column | str) -> Column:
 def utc_time(c: Column | str) -> Column:
     """ISO date or time of any precision to TIMESTAMP. No zone means UTC, no time of day 00:00; unreadable gives null.
 
-    What is written in the usual form, ending in Z, is cast at once; patterns are for the rest.
+    What is written in a usual form (a date; a date and a time to the second; a time with a zone) is cast at once; patterns are for the rest.
     """
     c = F.col(c) if isinstance(c, str) else c
-    usual = F.when(c.endswith("Z") & (F.substring(c, 11, 1) == "T") & (F.substring(c, 5, 1) == "-"), c.try_cast("timestamp"))
-    return F.coalesce(usual, _utc_time(c))
+    size, dashed = F.length(c), (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-")
+    zoned = c.endswith("Z") | (F.substring(c, -6, 1).isin("+", "-") & (F.substring(c, -3, 1) == ":"))
+    whole = F.when(size == 10, F.concat(c, F.lit("T00:00:00Z"))).when(F.substring(c, 11, 1).isin("T", " "), F.when(size == 19, F.concat(c, F.lit("Z"))).when((size > 19) & zoned, c))
+    return F.coalesce(F.when(dashed, whole).try_cast("timestamp"), _utc_time(c))
 
 
 def _utc_time(c: Column) -> Column:
