@@ -3,13 +3,14 @@
 import random
 from datetime import date
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import DATA
-from tidemark.llm import canon, dedupe, langid, mixing, packing, queries, tokens
+from tidemark.llm import canon, dedupe, fingerprints, langid, mixing, packing, queries, tokens
 
 
 def osa(a: str, b: str) -> int:
@@ -75,23 +76,89 @@ def leaders(rows, minutes=10):
     return out
 
 
-@pytest.mark.parametrize("fold", [dedupe.FOLD_ROWS, 1])
-def test_dedupe_against_brute_force(spark, monkeypatch, fold):
-    monkeypatch.setattr(dedupe, "FOLD_ROWS", fold)
-    rng = random.Random(11)
+def _actions(n, batches, seed=11):
+    rng = random.Random(seed)
     rows = []
-    for i in range(500):
+    for i in range(n):
         d = rng.randint(0, 3)
         clock = rng.random() < 0.7
         second = rng.choice([0, 30, 299, 600, 601, 40_000, 86_000, 86_399, 85_800, 85_799]) if clock else 0
         t = (d * 86_400 + second) * 1_000_000
-        rows.append((i + 1, f"b{i // 170}", rng.choice(["A|x", "B|" + "y" * 400, None, ""]) if rng.random() < 0.9 else "hot", date.fromordinal(date(1970, 1, 1).toordinal() + d) if rng.random() < 0.97 else None, t, clock, rng.choice([None, "buy", "sell"])))
-    df = spark.createDataFrame([(*r, "clash") for r in rows], "row_id long, b string, akey string, day date, t long, clock boolean, fg string, rep string")
+        rows.append((i + 1, f"b{i * batches // n}", rng.choice(["A|x", "B|" + "y" * 400, None, ""]) if rng.random() < 0.9 else "hot", date.fromordinal(date(1970, 1, 1).toordinal() + d) if rng.random() < 0.97 else None, t, clock, rng.choice([None, "buy", "sell"])))
+    return rows
+
+
+ACTIONS = "row_id long, b string, akey string, day date, t long, clock boolean, fg string, rep string"
+
+
+def test_dedupe_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(dedupe, "SALT_ROWS", 50)
+    rows = _actions(500, 3)
+    df = spark.createDataFrame([(*r, "clash") for r in rows], ACTIONS)
     got = [tuple(r) for r in dedupe.dedupe_batches(df, "b", ["b0", "b1", "b2"]).collect()]
     assert len(got) == len(set(got))
     assert set(got) == leaders(rows)
 
 
+def test_sixty_batches_in_a_store_that_stays(spark, monkeypatch, tmp_path):
+    """Runs are merged over several levels, and a second call goes on where the first ended."""
+    monkeypatch.setattr(dedupe, "FAN", 3)
+    rows = _actions(480, 60, seed=4)
+    df = spark.createDataFrame([(*r, "clash") for r in rows], ACTIONS)
+    names, path = [f"b{k}" for k in range(60)], str(tmp_path / "store")
+    got = {tuple(r) for part in (names[:25], names[25:]) for r in dedupe.dedupe_batches(df, "b", part, store_path=path, buckets=2).collect()}
+    assert got == leaders(rows)
+    store = fingerprints.Store(path)
+    assert store.batches == 60 and len(store.runs) <= 8
+    assert {p.name for p in (tmp_path / "store").iterdir() if p.is_dir()} <= set(store.runs)  # a run without new contents has no files
+
+
+def test_an_interrupted_batch_is_taken_up_again(spark, monkeypatch, tmp_path):
+    rows = [(1, "a", "A|x", date(1970, 1, 1), 0, True, None), (2, "b", "A|x", date(1970, 1, 1), 1_000_000, True, None)]
+    df, path = spark.createDataFrame(rows, ACTIONS.rsplit(",", 1)[0]), str(tmp_path / "store")
+    commit = fingerprints.Store.commit
+    with monkeypatch.context() as m:
+        m.setattr(fingerprints.Store, "commit", lambda self, runs, batches: commit(self, runs, batches) if batches == 0 else 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            dedupe.dedupe_batches(df, "b", ["a"], store_path=path)
+    assert fingerprints.Store(path).batches == 0
+    assert dedupe.dedupe_batches(df, "b", ["a"], store_path=path).count() == 0
+    assert [tuple(r) for r in dedupe.dedupe_batches(df, "b", ["b"], store_path=path).collect()] == [(1, 2)]
+
+
+def test_near_duplicates_are_found_by_coverage(spark):
+    """One character changed, a paragraph put in front, half of the text only, another day, another text."""
+    rng = random.Random(8)
+    text = lambda: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(120))
+    old, day = text(), date(1970, 1, 2)
+    changed = old[:300] + "#" + old[301:]
+    rows = [(1, "a", old, day), (2, "a", text(), day), (3, "b", changed, day), (4, "b", old[:250], day), (5, "b", old[:200] + text(), day), (6, "b", changed, date(1970, 1, 3)), (7, "b", text(), day), (8, "b", old, day)]
+    df = spark.createDataFrame([(*r, 86_400_000_000, False, None) for r in rows], "row_id long, b string, akey string, day date, t long, clock boolean, fg string")
+    near = {r.row_id_b: (r.row_id_a, r.coverage) for r in dedupe.dedupe_batches(df, "b", ["a", "b"], near=True).collect()}
+    assert {k: v[0] for k, v in near.items()} == {3: 1, 4: 1} and 0.8 <= near[3][1] < 1 and near[4][1] == 1
+    assert {tuple(r) for r in dedupe.dedupe_batches(df, "b", ["a", "b"]).collect()} == {(1, 8)}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.text(max_size=40), st.integers(-3, 3)), max_size=8))
+def test_fingerprints_are_the_least_hashes_of_all_windows(contents):
+    blocks = np.array([b for _, b in contents], dtype=np.int64)
+    fps, sizes = fingerprints.fingerprints([t for t, _ in contents], blocks)
+    at = np.cumsum(sizes) - sizes
+    for (text, block), a, n in zip(contents, at, sizes, strict=True):
+        own = fps[a : a + n]
+        padded = text.ljust(fingerprints.GRAM, "\0")
+        gram = [fingerprints.fingerprints([padded[i : i + fingerprints.GRAM]], np.array([block]))[0].view(np.uint64)[0] for i in range(len(padded) - fingerprints.GRAM + 1)]
+        want = {min(gram[i : i + fingerprints.WINDOW]) for i in range(max(1, len(gram) - fingerprints.WINDOW + 1))}
+        assert set(own.view(np.uint64)) == want and len(own) == len(want)
+
+
+def test_a_batch_with_strange_names(spark):
+    rows = [(1, "", "A", date(1970, 1, 1), 0, True, None), (2, None, "A", date(1970, 1, 1), 1, True, None), (3, "c/ d=", "A", date(1970, 1, 1), 2, True, None), (4, "unlisted", "A", date(1970, 1, 1), 3, True, None)]
+    df = spark.createDataFrame(rows, ACTIONS.rsplit(",", 1)[0])
+    assert {tuple(r) for r in dedupe.dedupe_batches(df, "b", ["", None, "c/ d="]).collect()} == {(1, 2), (1, 3)}
+
+
 def test_dedupe_of_nothing(spark):
     df = spark.createDataFrame([], "row_id long, b string, akey string, day date, t long, clock boolean, fg string")
     assert dedupe.dedupe_batches(df, "b", ["b0", "b1"]).count() == 0

@@ -1,223 +1,233 @@
 """Deduplicating new batches against all history: partitioned Bloom filters before a persistent fingerprint store.
 
-Every row has a content: what must be alike for it to repeat an earlier row, written in one canonical form. The content is cut
-into k-grams, hashed, and winnowed (the least hash of every window), so that equal contents have equal fingerprints and every
-stretch they share leaves one. A batch is taken up in these steps, none of which reads earlier batches:
+Every row has a content: what must be alike for it to repeat an earlier row, as a text (`akey`) within a block (the UTC day of its time).
+A batch is prepared (`prepare`: exact copies within it collapse to their first row, before and behind the shuffle; days that rows near
+midnight hold together are joined), and then taken up in one job with one shuffle (`take_up`):
 
-1. exact copies within the batch collapse to their first row;
-2. fingerprints are looked up in a Bloom filter that is partitioned into 64-bit words, by an equi-join on the word;
-3. contents all of whose fingerprints may be known are looked up in the fingerprint store, and coverage is verified there;
-4. rows of the batch meet the stored rows of their content; in order of arrival each becomes either a repeat of the first stored
-   or earlier row that it agrees with, or a new entry;
-5. new entries, their fingerprints and the filter's bits are added to the store.
+1. buckets of days come to tasks, texts within them in order of arrival; a large batch's texts are salted, so that no day has one task only;
+2. the contents' winnowed fingerprints are looked up in the store (see `fingerprints`): Bloom filter, postings, shared coverage of at least
+   `least`. Covering contents with the same text and day hand over their first rows, others are reported as near-duplicates;
+3. in order of arrival each row becomes either a repeat of the first stored or earlier row that it agrees with, or a first row itself;
+4. contents with new first rows go to the store, with their fingerprints and filter.
 
-Agreement: FromGrade equal or missing in one; times within `minutes`, or the same UTC day where one has no time of day. Only
-first rows are compared with, so that chains of near times don't run together. Rows near midnight are looked up under the
-neighbouring day too.
+No step reads earlier batches; the store is read where filters pass. Agreement: FromGrade equal or missing in one; times within `minutes`,
+or the same UTC day where one has no time of day. Only first rows are compared with, so that chains of near times don't run together.
+A task keeps first rows in memory, not rows: of one text, day and FromGrade at most one for every few minutes.
 
 Edge cases: rows without content, time or id are no cases; a null FromGrade agrees with any; ties of arrival don't occur (row ids are unique);
-an empty batch adds nothing; very long contents have more fingerprints; further columns are ignored.
+an empty batch adds nothing; contents of any length are read whole; an empty text is a content; rows of batches that aren't listed are no cases; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import bisect
-import gc
+import uuid
+from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..session import materialize, remove_path, scratch_path
+from .fingerprints import BUCKETS, CONTENTS, FAN, FILE_POSTINGS, Lookup, Store, fingerprints, write_run
 
-GRAM, WINDOW = 8, 12
-#: Bits of the filter set per fingerprint, and fingerprints a word of 64 bits should hold.
-BITS, PER_WORD = 4, 4
-#: Groups of one content and day up to this size are settled inside the JVM, larger ones in Python.
-FOLD_ROWS = 128
 DAY = 86_400_000_000
-ITEM = "struct<rid:bigint,t:bigint,clock:boolean,day:date,fg:string,new:boolean,vkey:bigint,rep:bigint>"
-STORED = {
-    "settled": "akey string, rid long, t long, clock boolean, day date, fg string, new boolean, vkey long, rep long",
-    "fps": "ckey long, n int, fp long",
-    "bloom": "word long, bits long",
-}
+#: A day's texts are spread over one more task for every so many rows of the batch.
+SALT_ROWS = 250_000
+SAME = ["akey", "day", "t", "clock", "fg"]
+SETTLED = "rid long, v1 long, v2 long, rep long, near long, coverage double"
 
 
-def fingerprints(content: Column) -> Column:
-    """Winnowed hashes of the k-grams of a text: array<bigint>, never empty."""
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(content) - (GRAM - 1))), lambda i: F.xxhash64(F.substr(content, i, F.lit(GRAM))))
-    # Bound as a variable, the grams are hashed once and not again for every window
-    least = lambda g: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(g) - (WINDOW - 1))), lambda i: F.array_min(F.slice(g, i, F.lit(WINDOW))))
-    return F.transform(F.array(grams), lambda g: F.array_distinct(least(g)))[0]
+def keyed(rows: DataFrame) -> DataFrame:
+    """Rows that can be cases, with v1 and v2: equal for exact copies. day is a date."""
+    marked = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in SAME]
+    out = rows.where("akey is not null and day is not null and t is not null and row_id is not null")
+    return out.withColumn("clock", F.coalesce("clock", F.lit(False))).withColumn("day", F.unix_date("day").cast("long")).withColumn("v1", F.xxhash64(*marked)).withColumn("v2", F.xxhash64(F.lit(1), *marked))
 
 
-def bloom_word(fp: Column, words: int) -> Column:
-    return F.pmod(F.xxhash64(fp, F.lit(11)), F.lit(words))
+def prepare(rows: DataFrame, minutes: int) -> DataFrame:
+    """Keyed rows (batch, row_id, akey, day, t, clock, fg, v1, v2) of any number of batches -> what take_up takes: one row per exact copy of a
+    batch, rid its first, and chunk: the number of its day, or of the first of a run of days that rows of the batch near midnight hold together."""
+    items = rows.groupBy("batch", "v1", "v2", *SAME).agg(F.min("row_id").alias("rid"))
+    edge = minutes * 60_000_000
+    into = F.pmod(F.col("t"), F.lit(DAY))
+    near = items.where(F.col("clock") & ((into < edge) | (into >= DAY - edge))).select("batch", "akey", F.when(into < edge, F.col("day")).otherwise(F.col("day") + 1).alias("day"), (into < edge).alias("after"))
+    bridged = near.groupBy("batch", "akey", "day").agg(F.bool_or("after").alias("a"), F.bool_or(~F.col("after")).alias("b")).where("a and b")
+    # A bridge before a day takes that day to the one before; runs of bridges are gaps and islands
+    nth = F.row_number().over(Window.partitionBy("batch", "akey").orderBy("day"))
+    runs = bridged.withColumn("run", F.col("day") - nth)
+    runs = runs.select("batch", "akey", "day", (F.min("day").over(Window.partitionBy("batch", "akey", "run")) - 1).alias("chunk"))
+    return items.join(runs, ["batch", "akey", "day"], "left").withColumn("chunk", F.coalesce("chunk", "day"))
 
 
-def bloom_mask(fp: Column) -> Column:
-    h = F.xxhash64(fp, F.lit(12))
-    mask = F.lit(0).cast("long")
-    for i in range(BITS):
-        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63)).cast("int")))
-    return mask
+class _Group:
+    """First rows of one text and run of days; times are kept sorted, so that a row meets only those within reach."""
 
+    def __init__(self, micros: int):
+        self.micros, self.timed, self.loose, self.days, self.seen = micros, [], {}, {}, set()
 
-def _agree(pdf: pd.DataFrame, micros: int) -> pd.DataFrame:
-    """One large group in order of arrival; times of entries are kept sorted, so that a row meets only those within reach."""
-    out, timed, loose, days = [], [], {}, {}
-    pdf = pdf.sort_values("rid")
-    for rid, t, clock, day, fg in pdf[["rid", "t", "clock", "day", "fg"]].itertuples(index=False):
-        fg = None if fg is None or fg != fg else fg
+    def add(self, rid: int, t: int, clock: bool, day: int, fg: str | None) -> None:
         if clock:
-            lo = bisect.bisect_left(timed, (t - micros, -1, ""))
-            near = []
-            while lo < len(timed) and timed[lo][0] <= t + micros:
-                near.append(timed[lo][1:])
-                lo += 1
-            near += loose.get(day, [])
+            bisect.insort(self.timed, (t, rid, fg or ""))
         else:
-            near = days.get(day, [])
-        rep = min((r for r, g in near if fg is None or g == "" or g == fg), default=rid)
-        if rep == rid:
-            entry = (rid, fg or "")
-            if clock:
-                bisect.insort(timed, (t, *entry))
-            else:
-                loose.setdefault(day, []).append(entry)
-            days.setdefault(day, []).append(entry)
-        out.append(rep)
-    return pdf.drop(columns="chunk").assign(rep=out)
-
-
-def settle(items: DataFrame, minutes: int) -> DataFrame:
-    """items(akey, chunk, rid, t, clock, day, fg, new, vkey) -> the same without chunk, and rep: leader clustering in order of arrival.
-
-    A group is one content on one day (or run of days joined at midnight) without exact copies; its size is bounded by the times of a day.
-    """
-    micros = minutes * 60_000_000
-    fields = ["rid", "t", "clock", "day", "fg", "new", "vkey"]
-    groups = items.groupBy("akey", "chunk").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("items"))
-    fold = F.expr(f"""aggregate(items, cast(array() as array<{ITEM}>), (acc, x) -> concat(acc, array(named_struct('rid', x.rid, 't', x.t, 'clock', x.clock, 'day', x.day, 'fg', x.fg, 'new', x.new, 'vkey', x.vkey, 'rep',
-        coalesce(try_element_at(filter(acc, y -> y.rid = y.rep and (y.fg is null or x.fg is null or y.fg = x.fg) and if(y.clock and x.clock, abs(y.t - x.t) <= {micros}L, y.day = x.day)), 1).rid, x.rid)))))""")
-    small = groups.where(F.size("items") <= FOLD_ROWS).select("akey", F.explode(fold).alias("x")).select("akey", "x.*")
-    large = groups.where(F.size("items") > FOLD_ROWS).select("akey", "chunk", F.explode("items").alias("x")).select("akey", "chunk", "x.*")
-    schema = "akey string, rid long, t long, clock boolean, day date, fg string, new boolean, vkey long, rep long"
-    return small.unionByName(large.groupBy("akey", "chunk").applyInPandas(lambda pdf: _agree(pdf, micros), schema))
-
-
-def chunked(items: DataFrame, minutes: int) -> DataFrame:
-    """Adds chunk: the day, or the first of a run of days that rows near midnight hold together."""
-    edge = minutes * 60_000_000
-    into = F.pmod(F.col("t"), F.lit(DAY))
-    near = items.where(F.col("clock") & ((into < edge) | (into >= DAY - edge))).select("akey", F.when(into < edge, F.col("day")).otherwise(F.date_add("day", 1)).alias("day"), (into < edge).alias("after"))
-    bridged = near.groupBy("akey", "day").agg(F.bool_or("after").alias("a"), F.bool_or(~F.col("after")).alias("b")).where("a and b")
-    runs = bridged.select("akey", "day", F.date_sub("day", F.row_number().over(Window.partitionBy("akey").orderBy("day"))).alias("run"))
-    runs = runs.select("akey", "day", F.date_sub(F.min("day").over(Window.partitionBy("akey", "run")), 1).alias("chunk"))
-    return items.join(runs, ["akey", "day"], "left").withColumn("chunk", F.coalesce("chunk", "day"))
-
+            self.loose.setdefault(day, []).append((rid, fg or ""))
+        self.days.setdefault(day, []).append((rid, fg or ""))
 
-class FingerprintStore:
-    """What each batch settled, the fingerprints of its new contents and their filter bits, as Parquet under one path of the shared folder.
+    def first(self, rid: int, t: int, clock: bool, day: int, fg: str | None) -> int:
+        """The first row this one agrees with, or itself."""
+        if clock:
+            lo = bisect.bisect_left(self.timed, (t - self.micros, -1, ""))
+            hi = bisect.bisect_right(self.timed, (t + self.micros, 1 << 63, ""))
+            near = [x[1:] for x in self.timed[lo:hi]] + self.loose.get(day, [])
+        else:
+            near = self.days.get(day, [])
+        return min((r for r, g in near if not fg or not g or g == fg), default=rid)
 
-    Every batch adds files of its own; an interrupted batch is simply written again.
-    """
 
-    def __init__(self, spark: SparkSession, path: str, expected_rows: int):
-        self.spark, self.path, self.batches = spark, path, 0
-        words = max(1024, expected_rows * 8 // PER_WORD)
-        self.words = 1 << (words - 1).bit_length()
-
-    def read(self, part: str) -> DataFrame:
-        """What all batches so far added."""
-        return self.spark.read.schema(f"{STORED[part]}, b int").parquet(f"{self.path}/{part}").where(F.col("b") < self.batches).drop("b")
-
-    def write(self, part: str, df: DataFrame) -> DataFrame:
-        at = f"{self.path}/{part}/b={self.batches}"
-        df.write.mode("overwrite").parquet(at)
-        return self.spark.read.schema(STORED[part]).parquet(at)
-
-    def bloom(self) -> DataFrame:
-        """The filter as the last batch left it: one row per word that has bits."""
-        return self.spark.read.schema(STORED["bloom"]).parquet(f"{self.path}/bloom/b={self.batches - 1}")
-
-    def may_know(self, contents: DataFrame) -> DataFrame:
-        """contents(ckey, fps) -> those whose fingerprints all pass the filter."""
-        asked = contents.select("ckey", F.size("fps").alias("n"), F.explode("fps").alias("fp")).withColumn("word", bloom_word(F.col("fp"), self.words))
-        mask = bloom_mask(F.col("fp"))
-        passed = asked.join(self.bloom(), "word").where(F.col("bits").bitwiseAND(mask) == mask)
-        return passed.groupBy("ckey", "n").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") == F.col("n"))
-
-    def covered(self, maybe: DataFrame) -> DataFrame:
-        """ckey of those of which one stored content shares all fingerprints and has no others."""
-        asked = maybe.select("ckey", "n", F.explode("fps").alias("fp"))
-        # Equal contents have equal keys: with the key in the join a fingerprint that very many contents share pairs with its own content only
-        shared = asked.join(self.read("fps").withColumnRenamed("n", "n_known"), ["ckey", "fp"])
-        return shared.where("n = n_known").groupBy("ckey", "n").agg(F.count("*").alias("c")).where("c = n").select("ckey")
-
-    def known(self, contents: DataFrame) -> DataFrame:
-        """Stored first rows of the given contents(ckey, fps)."""
-        entries = self.read("settled").where("new and rid = rep").withColumn("ckey", F.xxhash64(_content(F.col("akey"), F.col("day"))))
-        return entries.join(self.covered(self.may_know(contents)), "ckey", "left_semi").drop("ckey", "rep")
-
-    def add(self, settled: DataFrame) -> None:
-        """Write what the batch settled, then fingerprints and filter bits of the contents that are new with it."""
-        done = self.write("settled", settled)
-        fresh = done.groupBy("akey", "day").agg(F.bool_and("new").alias("fresh"), F.bool_or(F.col("new") & (F.col("rid") == F.col("rep"))).alias("holds")).where("fresh and holds")
-        content = fresh.select(_content(F.col("akey"), F.col("day")).alias("content")).select(F.xxhash64("content").alias("ckey"), fingerprints(F.col("content")).alias("fps"))
-        fps = self.write("fps", content.select("ckey", F.size("fps").alias("n"), F.explode("fps").alias("fp")))
-        bits = fps.select(bloom_word(F.col("fp"), self.words).alias("word"), bloom_mask(F.col("fp")).alias("bits"))
-        self.write("bloom", (bits.unionByName(self.bloom()) if self.batches else bits).groupBy("word").agg(F.bit_or("bits").alias("bits")))
-        self.batches += 1
-
-
-def _content(akey: Column, day: Column) -> Column:
-    return F.concat_ws("|", akey, F.date_format(day, "yyyy-MM-dd"))
+class _Writer:
+    """Contents with new first rows, written by bucket when enough have come together and at the end."""
 
+    def __init__(self, store: Store, run: str):
+        self.store, self.run, self.rows, self.postings, self.part = store, run, {}, 0, 0
 
-SAME = ["akey", "day", "t", "clock", "fg"]
+    def add(self, bucket: int, akey: str, day: int, fps: np.ndarray, entry: tuple) -> None:
+        held = self.rows.setdefault(bucket, {})
+        if (akey, day) not in held:
+            held[akey, day] = (fps, [])
+            self.postings += len(fps)
+        held[akey, day][1].append(entry)
 
+    def flush(self) -> None:
+        task = TaskContext.get().partitionId()
+        for bucket, held in self.rows.items():
+            names = ("rid", "t", "clock", "fg")
+            rows = {"akey": [k[0] for k in held], "block": [k[1] for k in held], "fps": [v[0] for v in held.values()], "entries": [[dict(zip(names, e, strict=True)) for e in v[1]] for v in held.values()]}
+            write_run(self.store.folder, f"{self.run}/{bucket}/{task}-{self.part}", pa.table(rows, schema=CONTENTS))
+        self.rows, self.postings, self.part = {}, 0, self.part + 1
 
-def keyed(rows: DataFrame) -> DataFrame:
-    """Rows that can be cases, with vkey: equal for exact copies."""
-    return rows.where("akey is not null and day is not null and t is not null and row_id is not null").withColumn("vkey", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in SAME]))
-
-
-def take_up(store: FingerprintStore, batch: DataFrame, minutes: int = 10) -> None:
-    """Settle a batch of keyed rows (row_id, akey, day, t, clock, fg, vkey) against the store, which then knows it."""
-    first = batch.groupBy("vkey", *SAME).agg(F.min("row_id").alias("rid"))
-    items = first.select(*SAME, "rid", F.lit(True).alias("new"), "vkey")
-    if store.batches:
-        into, edge = F.pmod(F.col("t"), F.lit(DAY)), minutes * 60_000_000
-        days = F.array_compact(F.array(F.col("day"), F.when(F.col("clock") & (into < edge), F.date_sub("day", 1)), F.when(F.col("clock") & (into >= DAY - edge), F.date_add("day", 1))))
-        asked = batch.select("akey", F.explode(days).alias("d")).distinct().select(_content(F.col("akey"), F.col("d")).alias("content"))
-        known = store.known(asked.select(F.xxhash64("content").alias("ckey"), fingerprints(F.col("content")).alias("fps")))
-        items = items.unionByName(known.withColumn("new", F.lit(False)))
-    store.add(settle(chunked(items, minutes), minutes))
 
+def _settler(uri: str, run: str, minutes: int, least: float):
+    """Rows sorted by chunk, akey and rid -> SETTLED; new contents go to the store's folder `run`."""
+    micros = minutes * 60_000_000
 
-def dedupe_batches(rows: DataFrame, batch_col: str, batches: list, minutes: int = 10) -> DataFrame:
-    """All batches in turn, each against what the earlier ones left in a store of its own; pairs (row_id_a, row_id_b)."""
+    def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store = Store(uri)
+        lookup, writer = Lookup(store), _Writer(store, run)
+        last, group = None, _Group(micros)
+        for batch in batches:
+            akey, chunk, day, t, clock, fg, rid = (batch.column(c).to_pylist() for c in ("akey", "chunk", "day", "t", "clock", "fg", "rid"))
+            asked: dict[tuple[str, int], int] = {}
+            wanted = []
+            for k, d, x, timed in zip(akey, day, t, clock, strict=True):
+                into = x % DAY
+                days = (d, d - 1) if timed and into < micros else (d, d + 1) if timed and into >= DAY - micros else (d,)
+                wanted.append(days)
+                for one in days:
+                    asked.setdefault((k, one), len(asked))
+            texts, blocks = [k for k, _ in asked], np.array([d for _, d in asked], dtype=np.int64)
+            fps, sizes = fingerprints(texts, blocks)
+            starts, buckets = np.cumsum(sizes) - sizes, store.bucket(blocks)
+            known: dict[tuple[str, int], list[dict]] = {}
+            near: dict[tuple[str, int], tuple[float, int]] = {}
+            names = list(asked)
+            for a, share, row in lookup.covering(blocks, fps, sizes, least):
+                if (row["akey"], row["block"]) == names[a]:
+                    known.setdefault(names[a], []).extend(row["entries"])
+                else:
+                    first = min(e["rid"] for e in row["entries"])
+                    near[names[a]] = min(near.get(names[a], (0.0, first)), (-share, first))
+            rep, beside, shares = [], [], []
+            for i, k in enumerate(akey):
+                if (k, chunk[i]) != last:
+                    last, group = (k, chunk[i]), _Group(micros)
+                for d in wanted[i]:
+                    if d not in group.seen:
+                        group.seen.add(d)
+                        for e in known.get((k, d), ()):
+                            group.add(e["rid"], e["t"], e["clock"], d, e["fg"])
+                r = group.first(rid[i], t[i], clock[i], day[i], fg[i])
+                if r == rid[i]:
+                    group.add(r, t[i], clock[i], day[i], fg[i])
+                    a = asked[k, day[i]]
+                    writer.add(int(buckets[a]), k, day[i], fps[starts[a] : starts[a] + sizes[a]], (r, t[i], clock[i], fg[i]))
+                rep.append(r)
+                share, first = near.get((k, day[i]), (None, None))
+                beside.append(first)
+                shares.append(None if share is None else -share)
+            if writer.postings > FILE_POSTINGS:
+                writer.flush()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rid"), batch.column("v1"), batch.column("v2"), pa.array(rep, pa.int64()), pa.array(beside, pa.int64()), pa.array(shares, pa.float64())],
+                names=["rid", "v1", "v2", "rep", "near", "coverage"],
+            )
+        writer.flush()
+
+    return run_batches
+
+
+def _merge(spark: SparkSession, store: Store, runs: list[str]) -> tuple[list[str], list[str]]:
+    """Merges the last FAN runs of a level as long as there are as many: the runs that stand now, and those they replace, whose files may go once the manifest no longer names them."""
+    gone: list[str] = []
+    while len(runs) >= FAN and len({r.split("-")[0] for r in runs[-FAN:]}) == 1:
+        old, level = runs[-FAN:], int(runs[-1].split("-")[0]) + 1
+        into, uri = f"{level}-{uuid.uuid4().hex}", store.uri
+
+        def run(batches: Iterator[pa.RecordBatch], old=old, into=into) -> Iterator[pa.RecordBatch]:
+            there = Store(uri)
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([there.merge(old, into, k) for k in b.column(0).to_pylist()], pa.int64())], names=["files"])
+
+        spark.range(0, store.buckets, 1, min(store.buckets, spark.sparkContext.defaultParallelism * 2)).mapInArrow(run, "files long").agg(F.sum("files")).collect()
+        runs, gone = [*runs[:-FAN], into], [*gone, *old]
+    return runs, gone
+
+
+def take_up(store: Store, items: DataFrame, rows: int, out: str, minutes: int = 10, least: float = 0.8) -> None:
+    """Settle a batch of so many prepared rows against the store, which then knows it; SETTLED rows go to the folder `out`."""
+    spark, run = items.sparkSession, f"0-{uuid.uuid4().hex}"
+    spread = items.withColumn("bucket", F.pmod("chunk", F.lit(store.buckets))).withColumn("salt", F.pmod(F.xxhash64("akey"), F.lit(1 + rows // SALT_ROWS)))
+    spread = spread.repartition("bucket", "salt").sortWithinPartitions("bucket", "chunk", "akey", "rid")
+    settled = spread.select("akey", "chunk", "day", "t", "clock", "fg", "rid", "v1", "v2").mapInArrow(_settler(store.uri, run, minutes, least), SETTLED)
+    settled.write.mode("overwrite").parquet(out)
+    runs, gone = _merge(spark, store, [*store.runs, run])
+    store.commit(runs, store.batches + 1)
+    for old in gone:
+        store.folder.remove(old)
+
+
+def dedupe_batches(rows: DataFrame, batch_col: str, batches: list, minutes: int = 10, least: float = 0.8, store_path: str | None = None, near: bool = False, buckets: int = BUCKETS) -> DataFrame:
+    """All batches in turn, each against what the earlier ones left in the store: pairs (row_id_a, row_id_b).
+
+    store_path: a folder of the shared file system where the store stays, for runs to come; without one it goes with the result. With `near` the
+    pairs are near-duplicates instead: rows that repeat nothing, whose content shares at least `least` of its fingerprints with an earlier
+    batch's content of the same day, and that share (row_id_a is that content's first row).
+    """
     spark = rows.sparkSession
+    schema = "row_id_a long, row_id_b long" + (", coverage double" if near else "")
     if not batches:
-        return spark.createDataFrame([], "row_id_a long, row_id_b long")
-    path = scratch_path(spark, "store")
-    number = F.create_map(*[F.lit(x) for k, b in enumerate(batches) if b is not None for x in (b, k)], F.lit(""), F.lit(-1))
-    none = F.lit(batches.index(None) if None in batches else -1)
-    number = F.when(F.col(batch_col).isNull(), none).otherwise(F.coalesce(F.try_element_at(number, F.col(batch_col)), F.lit(-1)))
-    keyed(rows).select("row_id", *SAME, "vkey", number.alias("batch")).write.partitionBy("batch").parquet(f"{path}/rows")
-    schema = "row_id long, akey string, day date, t long, clock boolean, fg string, vkey long"
-    all_rows = spark.read.schema(f"{schema}, batch int").parquet(f"{path}/rows")
-    store = FingerprintStore(spark, path, all_rows.count())
-    for k in range(len(batches)):
-        take_up(store, all_rows.where(F.col("batch") == k).drop("batch"), minutes)
-        # Shuffle files of a batch go when the driver's objects do; a long run of batches would else keep them all
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-    reps = spark.read.schema(f"{STORED['settled']}, b int").parquet(f"{path}/settled").where("new").select(F.col("b").alias("batch"), "vkey", "rep")
-    pairs = all_rows.select("batch", "vkey", "row_id").join(reps, ["batch", "vkey"]).where("row_id <> rep")
-    out = materialize(pairs.select(F.col("rep").alias("row_id_a"), F.col("row_id").alias("row_id_b")))
+        return spark.createDataFrame([], schema)
+    path = scratch_path(spark, "batches")
+    numbers = spark.createDataFrame([(k, b) for k, b in enumerate(batches)], f"batch int, batch_name {dict(rows.dtypes)[batch_col]}")
+    numbers = F.broadcast(numbers) if len(batches) <= 10_000 else numbers
+    kept = keyed(rows).select("row_id", *SAME, "v1", "v2", F.col(batch_col).alias("batch_of"))
+    kept.join(numbers, kept["batch_of"].eqNullSafe(numbers["batch_name"])).drop("batch_of", "batch_name").write.parquet(f"{path}/rows")
+    all_rows = spark.read.schema("row_id long, akey string, day long, t long, clock boolean, fg string, v1 long, v2 long, batch int").parquet(f"{path}/rows")
+    prepare(all_rows, minutes).write.partitionBy("batch").parquet(f"{path}/items")
+    items = spark.read.schema("akey string, day long, t long, clock boolean, fg string, v1 long, v2 long, rid long, chunk long, batch int").parquet(f"{path}/items")
+    sizes = dict(items.groupBy("batch").count().collect())  # a row per batch
+    store = Store(store_path or f"{path}/store", buckets)
+    store.commit(store.runs, store.batches)
+    for k in sorted(sizes):
+        take_up(store, items.where(F.col("batch") == k), sizes[k], f"{path}/settled/batch={k}", minutes, least)
+    settled = spark.read.schema(f"{SETTLED}, batch int").parquet(f"{path}/settled") if sizes else spark.createDataFrame([], f"{SETTLED}, batch int")
+    if near:
+        found = settled.where("rid = rep and near is not null").select(F.col("near").alias("row_id_a"), F.col("rid").alias("row_id_b"), "coverage")
+    else:
+        pairs = all_rows.select("batch", "v1", "v2", "row_id").join(settled.select("batch", "v1", "v2", "rep"), ["batch", "v1", "v2"]).where("row_id <> rep")
+        found = pairs.select(F.col("rep").alias("row_id_a"), F.col("row_id").alias("row_id_b"))
+    out = materialize(found)
     remove_path(spark, path)
     return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import data_rows, day_of, has_clock, norm_symbol, strip, utc_time
+from ..functions.text import data_rows, has_clock, norm_symbol, strip, utc_time
 from ..session import materialize, table
 from . import canon, dedupe, langid, mixing, packing
 from .tokens import with_token_counts
@@ -40,14 +40,16 @@ def _action(c: str):
 
 def rating_actions(spark: SparkSession, d: str) -> DataFrame:
     """row_id, run_id, akey (symbol, firm, grade and action in canonical form), day, t, clock, fg."""
-    rows = table(spark, d, "upgrades_downgrades").where(data_rows()).select("row_id", "run_id", "symbol", "GradeDate", *FIELDS, "Action")
+    # The time is parsed below the Python stage, so that it is evaluated once
+    at = F.unix_micros(utc_time("GradeDate")).alias("t")
+    rows = table(spark, d, "upgrades_downgrades").where(data_rows()).select("row_id", "run_id", norm_symbol("symbol").alias("symbol"), at, has_clock("GradeDate").alias("clock"), *FIELDS, _action("Action").alias("Action"))
     ids = canon.with_ids(rows, FIELDS, _lists(spark, d))
     own = lambda f: F.when(F.col(f"{f}_id") > 0, F.concat(F.lit("#"), F.col(f"{f}_id"))).otherwise(F.lower(strip(f)))
-    at = utc_time("GradeDate")
     blank = F.coalesce(strip("Firm") == "", F.lit(True))
-    akey = F.concat_ws("|", F.coalesce(norm_symbol("symbol"), F.lit("")), own("Firm"), F.coalesce(own("ToGrade"), F.lit("")), F.coalesce(_action("Action"), F.lit("")))
+    akey = F.concat_ws("|", F.coalesce("symbol", F.lit("")), own("Firm"), F.coalesce(own("ToGrade"), F.lit("")), F.coalesce("Action", F.lit("")))
     fg = own("FromGrade")
-    return ids.where(~blank).select("row_id", "run_id", akey.alias("akey"), day_of(at).alias("day"), F.unix_micros(at).alias("t"), has_clock("GradeDate").alias("clock"), F.when(fg != "", fg).alias("fg"))
+    day = F.date_from_unix_date(F.floor(F.col("t") / F.lit(86_400_000_000)).cast("int"))
+    return ids.where(~blank).select("row_id", "run_id", akey.alias("akey"), day.alias("day"), "t", "clock", F.when(fg != "", fg).alias("fg"))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
