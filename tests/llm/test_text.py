@@ -48,20 +48,47 @@ def test_names(value, ref):
     assert (hit[2] if hit else None) == ref
 
 
-def test_match_in_spark(spark):
-    rows = [(1, "Ulvershaw Group", "x"), (2, "ulvershaw group", "x"), (2, "ulvershaw group", "x"), (3, None, "x"), (4, "  ", "x"), (5, "nobody at all", "x"), (None, "BCLR", "x")]
+def _firms(spark, rows=FIRMS, most=canon.MAX_LIST):
+    return canon.read_list(spark.createDataFrame(rows, "firm_id long, firm_name string, code string"), "firm_id", "firm_name", "code", most=most)
+
+
+@pytest.mark.parametrize("most", [canon.MAX_LIST, 0])
+def test_match_in_spark(spark, most):
+    """The list travels, or stays a table in shards."""
+    rows = [(1, "Ulvershaw Group", "x"), (2, "ulvershaw group", "x"), (2, "ulvershaw group", "x"), (3, None, "x"), (4, "  ", "x"), (5, "nobody at all", "x"), (None, "BCLR", "x"), (6, "Aldermoor", "x")]
     df = spark.createDataFrame(rows, "row_id long, Firm string, ref_id string")
-    got = sorted((tuple(r) for r in canon.match(df, {"Firm": "f"}, {"f": FIRMS}).collect()), key=str)
-    assert got == sorted([(2, "Firm", 5), (2, "Firm", 5), (5, "Firm", 0), (None, "Firm", 3)], key=str)
-    assert canon.match(df.where("false"), {"Firm": "f"}, {"f": FIRMS}).count() == 0
-    assert {r.ref_id for r in canon.match(df, {"Firm": "f"}, {"f": []}).collect()} == {0}
+    lists = {"f": _firms(spark, most=most)}
+    got = sorted((tuple(r) for r in canon.match(df, {"Firm": "f"}, lists).drop("value").collect()), key=str)
+    assert got == sorted([(2, "Firm", 5), (2, "Firm", 5), (5, "Firm", 0), (None, "Firm", 3), (6, "Firm", 0)], key=str)
+    ids = sorted(((r.row_id, r.Firm_id) for r in canon.with_ids(df, {"Firm": "f"}, lists).collect()), key=str)
+    assert ids == sorted([(1, 5), (2, 5), (2, 5), (3, 0), (4, 0), (5, 0), (None, 3), (6, 0)], key=str)
+    assert canon.match(df.where("false"), {"Firm": "f"}, lists).count() == 0
+    assert {r.ref_id for r in canon.match(df, {"Firm": "f"}, {"f": _firms(spark, [], most)}).collect()} == {0}
+
+
+def test_a_list_of_25000_gives_the_same_either_way(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefghijklmnoprstuvw", k=rng.randint(3, 9)))
+    tails = ["Group", "Equity Research", "Capital Markets", "& Co", "Bank", "Partners", "", "Securities"]
+    names = [(i, f"{word()} {word() if rng.random() < 0.5 else ''} {rng.choice(tails)}".strip(), "".join(rng.choices("ABCDEFGHIJ", k=4)) if rng.random() < 0.3 else None) for i in range(1, 25_001)]
+    values = []
+    for _, n, c in rng.sample(names, 400):
+        cut = rng.randrange(len(n))
+        values += [n, n.upper(), n[:cut] + n[cut + 1 :], n[:cut] + rng.choice("xyz") + n[cut:], canon.head(n), c, f"The {n} (US)", n.replace("Research", "rsch")]
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    big = _firms(spark, names)
+    assert big.entries is None
+    got = {r.value: r.ref_id for r in canon.match_sharded(df, big, shard_aliases=3000, salt_values=500).collect()}
+    trie = canon.Trie(names)
+    want = {v: (hit[2] if (hit := trie.best(v)) else 0) for v in values if v and v.strip()}
+    assert got == want
 
 
-def test_sharded_list_gives_the_same(spark):
-    ref = spark.createDataFrame([(i, n) for i, n, _ in FIRMS], "firm_id long, firm_name string")
-    values = spark.createDataFrame([("ULVERSHAW GROUP",), ("Oakhmpden Equity Advisers",), ("zzz",), (None,), (" ",)], "value string")
-    got = {r.value: r.ref_id for r in canon.match_sharded(values, ref, "firm_id", "firm_name", shard_entries=2, salts=2).collect()}
-    assert got == {"ULVERSHAW GROUP": 5, "Oakhmpden Equity Advisers": 4, "zzz": 0}
+def test_words_are_a_parameter_and_too_many_spellings_are_refused(spark):
+    words = canon.Words(abbreviations={"gesellschaft": ("ges",)}, endings=frozenset(), article=r"^die\s+")
+    assert canon.Trie([(1, "Gesellschaft Nord", None)], words).best("die Ges. Nord") == (0, 1, 1)
+    with pytest.raises(ValueError, match="spellings"):
+        canon.Trie([(1, "capital group " * 8, None)])
 
 
 def leaders(rows, minutes=10):

@@ -2,7 +2,7 @@
 
 The model is fitted on a bounded sample of labelled documents (at most SAMPLE_DOCS per language, by hash). Labels may be wrong and
 documents mixed: after a first fit the sample's paragraphs are labelled by the model itself, and it is fitted again. The matrix of
-log-probabilities, buckets times languages, is broadcast; its size is fixed by parameters. Scoring is done in numpy over all paragraphs of an
+log-probabilities, buckets times languages, is broadcast once; MOST_LANGUAGES bounds it at 64 MB, longer lists of languages are refused. Scoring is done in numpy over all paragraphs of an
 Arrow batch at once: n-grams are hashed from code points, their rows of the matrix are gathered and summed per paragraph.
 
 Paragraphs are what lies between runs of blank lines, numbered from 0. A paragraph is prose if, markup taken away, it holds a sentence.
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-GRAMS, BUCKETS, SAMPLE_DOCS, REFITS = (3, 4), 1 << 16, 400, 2
+GRAMS, BUCKETS, SAMPLE_DOCS, REFITS, MOST_LANGUAGES = (3, 4), 1 << 16, 400, 2, 256
 #: A posterior is tempered to this many n-grams, so that long paragraphs don't all have confidence 1.
 TEMPER = 40.0
 
@@ -158,9 +158,9 @@ def _count(matrix: np.ndarray | None, n_langs: int):
 
 def label_index(docs: DataFrame, lang_codes: DataFrame, lang: str = "lang") -> tuple[DataFrame, list[str]]:
     """docs with label (number of the language its label names in any notation, null for none) and the codes in order."""
-    rows = lang_codes.where("lang_code is not null").orderBy("lang_code").limit(1001).collect()
-    if len(rows) > 1000:
-        raise ValueError("more than 1000 languages")
+    rows = lang_codes.where("lang_code is not null").orderBy("lang_code").limit(MOST_LANGUAGES + 1).collect()
+    if len(rows) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     codes = [r["lang_code"] for r in rows]
     named = {}
     for i, r in enumerate(rows):
@@ -177,7 +177,7 @@ def fit(docs: DataFrame, codes: list[str], sample_docs: int = SAMPLE_DOCS) -> np
     n = {r[0]: r[1] for r in docs.where("label is not null").groupBy("label").count().collect()}
     spread = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000))
     share = F.create_map(*[F.lit(x) for k, v in sorted(n.items()) for x in (k, int(1_000_000 * min(1.0, sample_docs / v)))]) if n else F.create_map(F.lit(0), F.lit(0))
-    sample = materialize(docs.select("doc_id", "text", "label").where(F.col("label").isNotNull() & (spread < F.try_element_at(share, F.col("label")))).select("text", "label").coalesce(8))
+    sample = materialize(docs.select("doc_id", "text", "label").where(F.col("label").isNotNull() & (spread < F.try_element_at(share, F.col("label")))).select("text", "label").repartition(8))
     matrix = None
     for _ in range(1 + REFITS):
         counts = sample.mapInPandas(_count(matrix, len(codes)), "lang int, bucket int, c long").groupBy("lang", "bucket").agg(F.sum("c").alias("c")).toPandas()
@@ -190,9 +190,11 @@ def fit(docs: DataFrame, codes: list[str], sample_docs: int = SAMPLE_DOCS) -> np
     return matrix.astype(np.float32)
 
 
-def _classify(matrix: np.ndarray, codes: list[str], with_segments: bool):
+def _classify(matrix, codes: list[str]):
+    """matrix: a broadcast variable."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = matrix
+        m = matrix.value
         for pdf in batches:
             texts, where = _texts_of(pdf) if m.any() else ([], [])
             total, n = scores(texts, m)
@@ -214,8 +216,7 @@ def _classify(matrix: np.ndarray, codes: list[str], with_segments: bool):
                 conf = sum(c * s for _, c, b, s in segs if b == main) / weight if weight else 0.0
                 wrong = main is not None and not label == main
                 out.append((doc, -1, codes[main] if main is not None else None, conf, wrong))
-                if with_segments:
-                    out.extend((doc, k, codes[b], s, True) for k, _, b, s in segs if b != main)
+                out.extend((doc, k, codes[b], s, True) for k, _, b, s in segs if b != main)
             yield pd.DataFrame(out, columns=["doc_id", "seg_no", "lang_code", "confidence", "departs"])
 
     return run
@@ -224,4 +225,4 @@ def _classify(matrix: np.ndarray, codes: list[str], with_segments: bool):
 def languages(docs: DataFrame, matrix: np.ndarray, codes: list[str]) -> DataFrame:
     """doc_id, seg_no, lang_code, confidence, departs: a row of seg_no -1 for every document (departs: its label is missing or another),
     and one for each prose paragraph in another language than the document's. One narrow stage; nothing is shuffled."""
-    return docs.select("doc_id", "text", "label").mapInPandas(_classify(matrix, codes, True), "doc_id long, seg_no long, lang_code string, confidence double, departs boolean")
+    return docs.select("doc_id", "text", "label").mapInPandas(_classify(docs.sparkSession.sparkContext.broadcast(matrix), codes), "doc_id long, seg_no long, lang_code string, confidence double, departs boolean")

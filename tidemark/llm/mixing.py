@@ -29,12 +29,8 @@ def budgets(sizes: DataFrame, targets: DataFrame, total: int | None = None) -> D
     """One row per target: source, key, share, max_repeats, have (tokens at hand), budget, epochs (whole ones), rest (tokens of the last)."""
     t = targets.where("source is not null and target_share > 0").select("source", source_key(F.col("source")).alias("key"), F.col("target_share").alias("share"), F.greatest(F.coalesce("max_repeats", F.lit(1)), F.lit(1)).alias("max_repeats"))
     have = t.join(sizes, "key", "left").withColumn("have", F.coalesce("have", F.lit(0)))
-    if total is None:
-        reach = have.where("have > 0").agg(F.min(F.col("have") * F.col("max_repeats") / F.col("share")).alias("total"))
-    else:
-        reach = have.agg(F.lit(float(total)).alias("total"))
-    # One row joins one row per target
-    b = have.withColumn("one", F.lit(1)).join(reach.withColumn("one", F.lit(1)), "one").drop("one")
+    reach = have.where("have > 0").agg(F.min(F.col("have") * F.col("max_repeats") / F.col("share"))).scalar() if total is None else F.lit(float(total))
+    b = have.withColumn("total", reach)
     budget = F.least(F.floor(F.coalesce("total", F.lit(0.0)) * F.col("share") + 1e-6).cast("long"), F.col("have") * F.col("max_repeats"))
     return b.withColumn("budget", budget).withColumn("epochs", F.coalesce(F.try_divide("budget", "have"), F.lit(0)).cast("int")).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("have"))
 
@@ -72,6 +68,5 @@ def mix(docs: DataFrame, targets: DataFrame, total: int | None = None, doc_id: s
     got = drawn.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("records"), F.max("epoch").alias("most_repeats"))
     report = plan.select("source", F.col("share").alias("target_share"), "max_repeats", F.col("have").alias("tokens_at_hand"), "budget").join(got, "source", "left")
     report = report.withColumn("tokens", F.coalesce("tokens", F.lit(0))).withColumn("records", F.coalesce("records", F.lit(0))).withColumn("most_repeats", F.coalesce("most_repeats", F.lit(0)))
-    all_tokens = report.agg(F.sum("tokens").alias("all")).withColumn("one", F.lit(1))
-    report = report.withColumn("one", F.lit(1)).join(all_tokens, "one").withColumn("share", F.coalesce(F.try_divide("tokens", "all"), F.lit(0.0))).drop("one", "all")
+    report = report.withColumn("share", F.coalesce(F.try_divide("tokens", report.agg(F.sum("tokens")).scalar()), F.lit(0.0)))
     return drawn, report

@@ -18,15 +18,13 @@ def _lists(spark: SparkSession, d: str) -> dict:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return canon.match(table(spark, d, "upgrades_downgrades").where(data_rows()), FIELDS, _lists(spark, d))
+    return canon.match(table(spark, d, "upgrades_downgrades").where(data_rows()), FIELDS, _lists(spark, d)).drop("value")
 
 
 def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
     """Values without an entry, and how often each occurs."""
-    rows = table(spark, d, "upgrades_downgrades").where(data_rows())
-    none = canon.match(rows, FIELDS, _lists(spark, d)).where("ref_id = 0")
-    values = rows.select("row_id", F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value")) for f in FIELDS])).alias("x")).select("row_id", "x.*")
-    return values.join(none, ["row_id", "field_name"]).groupBy("field_name", F.lower(strip("value")).alias("value")).agg(F.count("*").alias("n_rows"))
+    found = canon.match(table(spark, d, "upgrades_downgrades").where(data_rows()), FIELDS, _lists(spark, d))
+    return found.where("ref_id = 0").groupBy("field_name", F.lower(strip("value")).alias("value")).agg(F.count("*").alias("n_rows"))
 
 
 def _action(c: str):
