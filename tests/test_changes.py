@@ -112,7 +112,7 @@ def test_panes_against_brute_force(spark):
     rows = [(t, s, r, i, d, a, v, x) for t, s, d, r, i, a, v, x in rows]
     rows += rows[:30]
     df = spark.createDataFrame(rows, REPORTS)
-    changes = panes.revisions(df, panes.week_pane)
+    changes = panes.pane_changes(panes.revisions(df, panes.week_pane))
     got = {tuple(r) for r in panes.late_cases(changes).collect()}
 
     want, totals = set(), {}
@@ -135,15 +135,29 @@ def test_panes_against_brute_force(spark):
             totals[s, start] = totals.get((s, start), 0.0) + (v or 0.0) - (0.0 if first else prev or 0.0)
             prev, first = v, False
     assert got == want
-    last = panes.pane_versions(changes).groupBy("symbol", "pane").agg(F.max_by("total", "version").alias("t")).collect()
+    last = panes.emissions(changes).groupBy("symbol", "window_start").agg(F.max_by("total", "version").alias("t")).collect()
     assert {(r[0], r[1]): round(r[2], 6) for r in last} == {k: round(v, 6) for k, v in totals.items()}
     assert panes.revisions(df.where("false"), panes.month_pane).count() == 0
 
 
-def test_windows_recompose_only_what_panes_cover(spark):
-    p = spark.createDataFrame([("t", "A", date(2026, 3, 2), 5.0, 0), ("t", "A", date(2026, 3, 9), 7.0, 0), ("t", "A", date(2026, 3, 9), 8.0, 1)], "table_name string, symbol string, pane date, total double, version int")
-    got = {(r.window_start, r.total, r.recomposed) for r in panes.compose(p, 2, 7).collect()}
-    assert got == {(date(2026, 2, 23), 5.0, 0), (date(2026, 3, 2), 13.0, 1), (date(2026, 3, 9), 8.0, 1)}
+def test_a_late_row_recomposes_only_the_windows_that_cover_its_pane(spark):
+    day = lambda n: date.fromordinal(date(2026, 3, 2).toordinal() + n)
+    at = lambda n: datetime(2026, 3, 2) .fromordinal(day(n).toordinal())
+    rows = [("t", "A", w, w, day(7 * w), at(7 * w + 1), 10.0, "x") for w in range(6)]
+    before = {tuple(r) for r in panes.emissions(panes.pane_changes(panes.revisions(spark.createDataFrame(rows, REPORTS), panes.week_pane)), 3, 7).drop("changes").collect()}
+    late = [*rows, ("t", "A", 2, 99, day(14), at(14 + 20), 15.0, "x"), ("t", "A", 3, 98, day(21), at(21 + 22), 1e9, "x"), ("t", "A", 4, 97, None, at(40), 1e9, "x")]
+    df = spark.createDataFrame(late, REPORTS)
+    after = {tuple(r) for r in panes.emissions(panes.pane_changes(panes.revisions(df, panes.week_pane)), 3, 7).drop("changes").collect()}
+    # The window from week 2 is not yet published on day 34 and takes the change into its first result; those from weeks 0 and 1 go out again
+    assert {r[2:] for r in after - before} == {(day(0), day(34), 35.0, 1, True), (day(7), day(34), 35.0, 1, True), (day(14), date(1970, 1, 1), 35.0, 0, False)}
+    assert {r[2:] for r in before - after} == {(day(14), date(1970, 1, 1), 30.0, 0, False)}
+    assert {(r.reason, r.n_rows) for r in panes.left_out(df).collect()} == {("too late", 1), ("unreadable", 1)}
+
+
+def test_a_report_that_moves_leaves_its_pane(spark):
+    rows = [("t", "A", 1, 1, date(2026, 3, 3), datetime(2026, 3, 4), 5.0, "x"), ("t", "A", 1, 2, date(2026, 3, 11), datetime(2026, 3, 12), 6.0, "x")]
+    out = panes.emissions(panes.pane_changes(panes.revisions(spark.createDataFrame(rows, REPORTS), panes.week_pane)))
+    assert {(r.window_start, r.total) for r in out.collect()} == {(date(2026, 3, 2), 0.0), (date(2026, 3, 9), 6.0)}
 
 
 def test_history_versions(spark):
@@ -157,6 +171,12 @@ def test_history_versions(spark):
     assert history.versions(df.where("false"), ["sector"], ["n"]).count() == 0
 
 
+def test_p6_found_cuts_hot_symbols_into_shards(spark):
+    events, versions = changes.profile_timeline(spark, "/root/testdata/sf0.1")
+    cells = asof_join.shard_map(events.where("entity is not null and t is not null"), versions.where("t is not null"))[1]
+    assert cells.groupBy("entity").agg(F.count_distinct("shard").alias("n")).agg(F.max("n")).first()[0] > 1
+
+
 def test_asof_join_with_shards_equals_brute_force(spark):
     rng = random.Random(9)
     ev = [(rng.choice(["hot"] * 5 + ["b", None]), rng.choice([None, *range(0, 1000)]), i) for i in range(800)]
@@ -168,7 +188,10 @@ def test_asof_join_with_shards_equals_brute_force(spark):
         c = [(a, vt, -r) for v, vt, a, r in ve if v == e and vt is not None and t is not None and vt <= t]
         if e is not None and c:
             want[i] = max(c)
-    for shard_rows in (40, 10**6):
+    hot, cells = asof_join.shard_map(events.where("entity is not null and t is not null"), versions.where("t is not null"), 2)
+    per_shard = cells.where("entity = 'hot'").select("shard").distinct().count()
+    assert hot.where("entity = 'hot'").count() == 1 and per_shard > 200  # no cap on an entity's shards
+    for shard_rows in (2, 40, 10**6):
         got = {r.event_id: tuple(r.best) for r in asof_join.as_known(events, versions, shard_rows=shard_rows).collect()}
         assert got == want
     assert asof_join.as_known(events.where("false"), versions).count() == 0

@@ -16,17 +16,33 @@ from pyspark.sql import Window
 
 from ..session import materialize
 
-#: Rows of one entity that a shard should hold.
-SHARD_ROWS = 50_000
+#: Rows of one entity that a shard should hold, and cells of time counted for each shard before cuts are laid between them.
+SHARD_ROWS, CELLS = 256, 64
 
+BLOCK_CELLS = 4096
 
-def cuts(events: DataFrame, versions: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(entity, bounds array<timestamp micros>) for the entities with more than shard_rows rows: at most all rows / shard_rows of them."""
+
+def shard_map(events: DataFrame, versions: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, DataFrame]:
+    """hot(entity, lo, width): the entities with more than shard_rows rows and how their time is cut into cells; cells(entity, cell, shard).
+
+    A shard is a run of cells that begin within the same shard_rows rows of the entity, so there are as many as the rows ask for. Rows of one
+    instant stay together.
+    """
     both = events.select("entity", "t").unionByName(versions.select("entity", "t"))
-    many = both.groupBy("entity").count().where(F.col("count") > shard_rows).select("entity")
-    hot = both.join(many, "entity", "left_semi").groupBy("entity").agg(F.count("*").alias("n"), F.percentile_approx("t", [i / 64 for i in range(1, 64)], 1000).alias("p"))
-    keep = F.least(F.lit(64), F.ceil(F.col("n") / shard_rows)).cast("int")
-    return hot.select("entity", F.array_distinct(F.filter("p", lambda x, i: (F.pmod((i + 1) * keep, F.lit(64)) < keep))).alias("bounds"))
+    hot = both.groupBy("entity").agg(F.count("*").alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi")).where(F.col("n") > shard_rows)
+    hot = hot.select("entity", "lo", F.ceil((F.col("hi") - F.col("lo") + 1) / (CELLS * F.ceil(F.col("n") / shard_rows))).alias("width"))
+    counts = both.join(hot, "entity").groupBy("entity", _cell()).agg(F.count("*").alias("n"))
+    # Rows before each cell: those of earlier blocks of cells, and those of earlier cells of its block, so that no group has all of an entity's cells
+    counts = counts.withColumn("block", F.floor(F.col("cell") / BLOCK_CELLS))
+    blocks = counts.groupBy("entity", "block").agg(F.sum("n").alias("s"))
+    upto = F.coalesce(F.sum("s").over(Window.partitionBy("entity").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("entity", "block").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = counts.withColumn("inside", inside).join(blocks.select("entity", "block", upto.alias("upto")), ["entity", "block"])
+    return hot, placed.select("entity", "cell", F.floor((F.col("upto") + F.col("inside")) / shard_rows).alias("shard"))
+
+
+def _cell():
+    return F.floor((F.col("t") - F.col("lo")) / F.col("width")).alias("cell")
 
 
 def as_known(events: DataFrame, versions: DataFrame, shard_rows: int = SHARD_ROWS, found_only: bool = True) -> DataFrame:
@@ -35,19 +51,25 @@ def as_known(events: DataFrame, versions: DataFrame, shard_rows: int = SHARD_ROW
     versions = versions.where(F.col("entity").isNotNull() & F.col("t").isNotNull()).select("entity", "t", "rank")
     # Both sides are read several times below; once materialised, their times needn't be parsed again
     events, versions = materialize(events), materialize(versions)
-    bounds = cuts(events, versions, shard_rows)
+    hot, cells = shard_map(events, versions, shard_rows)
     # Best of each (entity, instant) first: copies and restatements collapse before the shuffle
     versions = versions.groupBy("entity", "t").agg(F.max("rank").alias("rank"))
-    shard = lambda df: df.join(bounds, "entity", "left").withColumn("shard", F.coalesce(F.size(F.filter("bounds", lambda b: b <= F.col("t"))), F.lit(0)))
-    v = shard(versions)
-    per_shard = v.groupBy("entity", "shard").agg(F.max("rank").alias("best"), F.max(F.size("bounds")).alias("shards"))
-    # Each shard's best goes to all later shards, of which an entity has 64 at most
-    carried = per_shard.where("shards > 0 and shard < shards").select("entity", F.explode(F.sequence(F.col("shard") + 1, F.col("shards"))).alias("shard"), "best").groupBy("entity", "shard").agg(F.max("best").alias("rank"))
+
+    def sharded(df: DataFrame) -> DataFrame:
+        placed = df.join(hot, "entity", "left").withColumn("cell", _cell()).drop("lo", "width")
+        return placed.join(cells, ["entity", "cell"], "left").withColumn("shard", F.coalesce("shard", F.lit(0))).drop("cell")
+
+    v = sharded(versions)
+    # The best of all earlier shards, for every shard of a hot entity: one row per shard goes through the window
+    bests = cells.select("entity", "shard").distinct().join(v.groupBy("entity", "shard").agg(F.max("rank").alias("best")), ["entity", "shard"], "left")
+    earlier = Window.partitionBy("entity").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    carried = bests.select("entity", "shard", F.max("best").over(earlier).alias("rank")).where("rank is not null")
     rows = (
         v.select("entity", "shard", "t", "rank", F.lit(None).cast("long").alias("event_id"))
         .unionByName(carried.select("entity", "shard", F.lit(-(2**62)).alias("t"), "rank", F.lit(None).cast("long").alias("event_id")))
-        .unionByName(shard(events).select("entity", "shard", "t", F.lit(None).cast(v.schema["rank"].dataType).alias("rank"), "event_id"))
+        .unionByName(sharded(events).select("entity", "shard", "t", F.lit(None).cast(v.schema["rank"].dataType).alias("rank"), "event_id"))
     )
+    # An event without an id is a row with a version's null id but no rank: it is no event
     w = Window.partitionBy("entity", "shard").orderBy("t", F.col("event_id").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     merged = rows.withColumn("best", F.max("rank").over(w)).where("event_id is not null")
     return merged.where("best is not null").select("event_id", "best") if found_only else merged.select("event_id", "best")

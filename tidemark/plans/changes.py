@@ -72,26 +72,35 @@ def _reports(spark: SparkSession, d: str, name: str, value: str) -> DataFrame:
     )
 
 
-def market_revisions(spark: SparkSession, d: str) -> DataFrame:
+def market_changes(spark: SparkSession, d: str) -> DataFrame:
+    """FINRA's volumes as changes to weekly panes, CFTC's open interest as changes to monthly ones."""
     weekly = panes.revisions(_reports(spark, d, "finra_short_volume", "total_volume"), panes.week_pane)
-    return weekly.unionByName(panes.revisions(_reports(spark, d, "cftc_tff_positioning", "open_interest"), panes.month_pane))
+    return panes.pane_changes(weekly.unionByName(panes.revisions(_reports(spark, d, "cftc_tff_positioning", "open_interest"), panes.month_pane)))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return panes.late_cases(market_revisions(spark, d))
+    return panes.late_cases(market_changes(spark, d))
+
+
+def _emitted(e: DataFrame, start: str) -> DataFrame:
+    return e.select("table_name", "symbol", F.date_format("window_start", "yyyy-MM-dd").alias(start), F.date_format("as_of", "yyyy-MM-dd").alias("as_of"), "version", F.round("total", 2).alias("total"), "correction")
 
 
 def p2_totals(spark: SparkSession, d: str) -> DataFrame:
     """Every published and corrected total: version 0 is what stood at publication."""
-    v = panes.pane_versions(market_revisions(spark, d))
-    return v.select("table_name", "symbol", F.date_format("pane", "yyyy-MM-dd").alias("period_start"), F.date_format("as_of", "yyyy-MM-dd").alias("as_of"), "version", F.round("total", 2).alias("total"), "correction")
+    return _emitted(panes.emissions(market_changes(spark, d)), "period_start")
 
 
 def p2_sliding_totals(spark: SparkSession, d: str) -> DataFrame:
-    """Four-week totals that slide by a week, composed of the weekly panes' last versions."""
-    weekly = panes.pane_versions(panes.revisions(_reports(spark, d, "finra_short_volume", "total_volume"), panes.week_pane))
-    out = panes.compose(weekly, 4, 7)
-    return out.select("table_name", "symbol", F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), F.round("total", 2).alias("total"))
+    """Four-week totals that slide by a week: published when their last week is, emitted again whenever a week they cover changed later."""
+    weekly = panes.pane_changes(panes.revisions(_reports(spark, d, "finra_short_volume", "total_volume"), panes.week_pane))
+    return _emitted(panes.emissions(weekly, 4, 7), "window_start")
+
+
+def p2_left_out(spark: SparkSession, d: str) -> DataFrame:
+    """How many rows came after the cut-off or can't be read."""
+    both = _reports(spark, d, "finra_short_volume", "total_volume").unionByName(_reports(spark, d, "cftc_tff_positioning", "open_interest"))
+    return panes.left_out(both)
 
 
 def _p2_changes_sql() -> str:
@@ -119,6 +128,19 @@ def _p2_totals_sql() -> str:
             round(sum(delta) OVER (PARTITION BY table_name, symbol, pane ORDER BY as_of ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS total, as_of > DATE '1970-01-01' AS correction FROM s"""
 
 
+def _p2_sliding_sql() -> str:
+    return f"""WITH {_p2_changes_sql()}, v AS (SELECT table_name, symbol, CAST(pane - to_days(CAST(7 * j AS INTEGER)) AS DATE) AS window_start, CAST(utc AS DATE) AS day, coalesce(value, 0) - CASE WHEN nr = 1 THEN 0 ELSE coalesce(previous, 0) END AS delta
+            FROM k CROSS JOIN (SELECT unnest([0, 1, 2, 3]) AS j) WHERE unit = 'week'),
+        s AS (SELECT table_name, symbol, window_start, CASE WHEN day >= window_start + INTERVAL 32 DAY THEN day ELSE DATE '1970-01-01' END AS as_of, sum(delta) AS delta FROM v GROUP BY 1, 2, 3, 4)
+        SELECT table_name, symbol, strftime(window_start, '%Y-%m-%d') AS window_start, strftime(as_of, '%Y-%m-%d') AS as_of, CAST(row_number() OVER w - 1 AS INTEGER) AS version, round(sum(delta) OVER w, 2) AS total, as_of > DATE '1970-01-01' AS correction
+        FROM s WINDOW w AS (PARTITION BY table_name, symbol, window_start ORDER BY as_of ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
+def _p2_left_out_sql() -> str:
+    return f"""WITH {_p2_changes_sql()} SELECT table_name, CASE WHEN day IS NULL OR utc IS NULL OR report_id IS NULL THEN 'unreadable' ELSE 'too late' END AS reason, count(*) AS n_rows
+        FROM (SELECT *, CAST(arrival AT TIME ZONE 'UTC' AS TIMESTAMP) AS utc FROM rows) WHERE day IS NULL OR utc IS NULL OR report_id IS NULL OR date_diff('day', day, CAST(utc AS DATE)) > 21 GROUP BY 1, 2"""
+
+
 # --- 3 ---------------------------------------------------------------------------------------------------------------
 
 META = ("row_id", "trading_date", "symbol", "snapshot_utc", "dataset", "run_id", "no_analyst_coverage")
@@ -266,16 +288,16 @@ def _p5_sql() -> str:
 # --- 6 ---------------------------------------------------------------------------------------------------------------
 
 
-def _known_profile(spark: SparkSession, d: str, found_only: bool = True) -> DataFrame:
+def profile_timeline(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Rating actions and profile rows as events and versions of the as-of join."""
     events = table(spark, d, "upgrades_downgrades").where(data_rows()).select(norm_symbol("symbol").alias("entity"), F.unix_micros(utc_time("GradeDate")).alias("t"), F.col("row_id").alias("event_id"))
     rank = F.struct("trading_date", F.unix_micros("at").alias("at"), (-F.col("row_id")).alias("rid"))
     rows = snapshot_rows(spark, d, "profile").where("trading_date is not null")
-    versions = rows.select(F.col("symbol").alias("entity"), F.unix_micros("at").alias("t"), rank.alias("rank"))
-    return asof_join.as_known(events, versions, found_only=found_only)
+    return events, rows.select(F.col("symbol").alias("entity"), F.unix_micros("at").alias("t"), rank.alias("rank"))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return _known_profile(spark, d).select(F.col("event_id").alias("row_id"), (-F.col("best.rid")).alias("profile_row_id"))
+    return asof_join.as_known(*profile_timeline(spark, d)).select(F.col("event_id").alias("row_id"), (-F.col("best.rid")).alias("profile_row_id"))
 
 
 def p6_attributes(spark: SparkSession, d: str) -> DataFrame:
@@ -297,9 +319,9 @@ def _p6_sql() -> str:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_change_counts": p1_change_counts, "p2_found": p2_found, "p2_totals": p2_totals, "p2_sliding_totals": p2_sliding_totals, "p3_found": p3_found, "p3_profile": p3_profile, "p3_drift": p3_drift,
+    "p1_found": p1_found, "p1_change_counts": p1_change_counts, "p2_found": p2_found, "p2_totals": p2_totals, "p2_sliding_totals": p2_sliding_totals, "p2_left_out": p2_left_out, "p3_found": p3_found, "p3_profile": p3_profile, "p3_drift": p3_drift,
     "p5_found": p5_found, "p5_history": p5_history, "p6_found": p6_found, "p6_attributes": p6_attributes,
 }
-SQL = {"p1_found": _p1_sql(), "p2_found": _p2_sql(), "p2_totals": _p2_totals_sql(), "p3_found": _p3_sql(), "p5_found": _p5_sql(), "p6_found": _p6_sql()}
+SQL = {"p1_found": _p1_sql(), "p2_found": _p2_sql(), "p2_totals": _p2_totals_sql(), "p2_sliding_totals": _p2_sliding_sql(), "p2_left_out": _p2_left_out_sql(), "p3_found": _p3_sql(), "p5_found": _p5_sql(), "p6_found": _p6_sql()}
 SQL["p1_change_counts"] = f"SELECT table_name, trading_date, change_kind, count(*) AS n_records FROM ({SQL['p1_found']}) GROUP BY 1, 2, 3"
 SQL["p6_attributes"] = f'SELECT f.row_id AS row_id, f.profile_row_id AS profile_row_id, q.sector AS sector, q."marketCap" AS market_cap FROM ({SQL["p6_found"]}) f JOIN profile q ON q.row_id = f.profile_row_id'

@@ -52,24 +52,75 @@ def drop_empty_raw(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in raw if not used[c]])
 
 
-def write_partition(df: DataFrame, root: str, dataset: str, day: str, mode: str = "overwrite") -> None:
-    """One partition, written aside first and renamed into place, so that the old files stay if the write fails; mode 'append' adds files."""
-    spark = df.sparkSession
+def swap_in(spark: SparkSession, staged: str, target: str) -> None:
+    """Puts a finished folder in the place of another: the old one goes aside, the new one in, then the old one away.
+
+    Whenever a step fails, the old folder stands again; after a crash between the two renames `recover` (which every later write calls) brings it back.
+    """
+    fs, at = hadoop_path(spark, target)
+    aside, new = hadoop_path(spark, _aside(target))[1], hadoop_path(spark, staged)[1]
+    fs.mkdirs(at.getParent())
+    recover(spark, target)
+    if fs.exists(at):
+        fs.mkdirs(aside.getParent())
+        if not fs.rename(at, aside):
+            raise OSError(f"could not move {target} aside")
+    if not fs.rename(new, at):
+        recover(spark, target)
+        raise OSError(f"could not move {staged} to {target}")
+    fs.delete(aside, True)
+
+
+def _aside(target: str) -> str:
+    head, _, name = target.rpartition("/")
+    return f"{head}/_replaced-{name.replace('=', '-')}"
+
+
+def recover(spark: SparkSession, target: str) -> None:
+    """Finishes what a crash of swap_in left: the old folder comes back where no new one stands, else it goes."""
+    fs, at = hadoop_path(spark, target)
+    aside = hadoop_path(spark, _aside(target))[1]
+    if fs.exists(aside):
+        if fs.exists(at):
+            fs.delete(aside, True)
+        elif not fs.rename(aside, at):
+            raise OSError(f"could not bring {target} back")
+
+
+def _ready(df: DataFrame, dataset: str) -> DataFrame:
     out = drop_empty_raw(conform(df.drop("date"), dataset))
     keys = [c for c in ("canonical_symbol", "symbol", "bar_session") if c in out.columns]
-    ready = out.sortWithinPartitions(*keys) if keys else out
+    return out.sortWithinPartitions(*keys) if keys else out
+
+
+def write_partition(df: DataFrame, root: str, dataset: str, day: str, mode: str = "overwrite") -> None:
+    """One partition, written aside first and swapped in, so that the old files stay if the write fails; mode 'append' adds files."""
     target = f"{root}/{dataset}/date={day}"
-    writer = ready.write.option("compression", "zstd")
+    writer = _ready(df, dataset).write.option("compression", "zstd")
     if mode == "append":
+        recover(df.sparkSession, target)
         writer.mode("append").parquet(target)
         return
     staged = f"{root}/_staging/{dataset}-{day}"
     writer.mode("overwrite").parquet(staged)
+    swap_in(df.sparkSession, staged, target)
+
+
+def replace_batch(df: DataFrame, root: str, dataset: str, day: str, name: str) -> None:
+    """Adds a batch to a partition as files called after it; the same batch written again replaces them and leaves all others."""
+    spark, target, staged = df.sparkSession, f"{root}/{dataset}/date={day}", f"{root}/_staging/{dataset}-{day}-{name}"
+    _ready(df, dataset).write.option("compression", "zstd").mode("overwrite").parquet(staged)
+    recover(spark, target)
     fs, at = hadoop_path(spark, target)
-    fs.mkdirs(at.getParent())
-    fs.delete(at, True)
-    if not fs.rename(hadoop_path(spark, staged)[1], at):
-        raise OSError(f"could not move {staged} to {target}")
+    fs.mkdirs(at)
+    files = [f.getPath() for f in fs.listStatus(hadoop_path(spark, staged)[1]) if f.getPath().getName().endswith(".parquet")]
+    before = [f.getPath() for f in fs.listStatus(at) if f.getPath().getName().startswith(f"{name}.")]
+    for f in before:
+        fs.delete(f, False)
+    for i, f in enumerate(files):
+        if not fs.rename(f, hadoop_path(spark, f"{target}/{name}.{i:05d}.parquet")[1]):
+            raise OSError(f"could not move {f.toString()} to {target}")
+    fs.delete(hadoop_path(spark, staged)[1], True)
 
 
 def append_rows(df: DataFrame, root: str, dataset: str, day: str) -> None:
@@ -112,7 +163,10 @@ def event_rows(df: DataFrame) -> DataFrame:
 
 
 def ingest_events(spark: SparkSession, root: str, events: DataFrame, day: str) -> int:
-    """New events go to the index and to the first-seen partition of the day; how many there were. What is known is probed by an anti-join, never rewritten."""
+    """New events go to the first-seen partition of the day and to the index; how many there were. What is known is probed by an anti-join, never rewritten.
+
+    The partition comes first, under a name made of the events themselves: after a crash between the two the same events are new again and replace their own files.
+    """
     from ..session import materialize
 
     archive = Archive(spark, root)
@@ -120,20 +174,17 @@ def ingest_events(spark: SparkSession, root: str, events: DataFrame, day: str) -
     if "first_seen_utc" not in rows.columns:
         rows = rows.withColumn("first_seen_utc", F.col("snapshot_utc"))
     fresh = materialize(conform(new_events(rows, archive.index()).drop("snapshot_utc"), "rating_events").select(*SCHEMAS["rating_events"].fieldNames()))
-    n = fresh.count()
+    n, mark = fresh.agg(F.count("*"), F.bit_xor(F.xxhash64(*event_key()))).first()
     if n:
+        replace_batch(fresh, root, "rating_events", day, f"events-{mark & (2**64 - 1):016x}")
         fresh.write.mode("append").option("compression", "zstd").parquet(f"{root}/_index/rating_events")
-        append_rows(fresh, root, "rating_events", day)
     return n
 
 
 def _replace_index(spark: SparkSession, root: str, df: DataFrame) -> None:
-    staged, target = f"{root}/_staging/rating_events-index", f"{root}/_index/rating_events"
+    staged = f"{root}/_staging/rating_events-index"
     df.select(*SCHEMAS["rating_events"].fieldNames()).write.mode("overwrite").option("compression", "zstd").parquet(staged)
-    fs, at = hadoop_path(spark, target)
-    fs.mkdirs(at.getParent())
-    fs.delete(at, True)
-    fs.rename(hadoop_path(spark, staged)[1], at)
+    swap_in(spark, staged, f"{root}/_index/rating_events")
 
 
 def compact_events(spark: SparkSession, root: str) -> int:
