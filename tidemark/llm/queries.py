@@ -95,4 +95,39 @@ QUERIES = {
     "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p7_found": p7_found, "p8_packed": p8_packed, "p8_report": p8_report, "p9_drawn": p9_drawn, "p9_report": p9_report,
     "p10_found": p10_found, "p10_languages": p10_languages,
 }
-SQL: dict[str, str] = {}
+
+
+def _match_sql(words: canon.Words = canon.WORDS) -> str:
+    """Common tables up to found(list, value, ref_id): every alias against every value, by the full table of distances."""
+    abbreviations = ", ".join(f"('{w}', '{s}')" for w, shorts in words.abbreviations.items() for s in shorts)
+    last = ", ".join(f"'{w}'" for w in [*words.abbreviations, *sorted(words.endings)])
+    decorations = "(" + words.decoration.removesuffix("$") + ")+$"
+    red = lambda x: rf"regexp_replace(lower(replace(strip_accents({x}), '&', ' and ')), '[^\p{{L}}\p{{N}}]+', '', 'g')"
+    bare = lambda x: f"regexp_replace({x}, '{words.article}', '', 'i')"
+    cut = lambda x: f"regexp_replace({bare(x)}, '{decorations}', '', 'i')"
+    undecorated = lambda x: f"CASE WHEN trim({cut(x)}) <> '' THEN {cut(x)} ELSE {bare(x)} END"
+    allowed = lambda n: f"CASE WHEN {n} <= 4 THEN 0 WHEN {n} <= 7 THEN 1 WHEN {n} <= 11 THEN 2 ELSE 3 END"
+    return f"""WITH RECURSIVE entries AS (SELECT 'firms' AS list, firm_id AS id, firm_name AS name, short_name AS code FROM ref_firms UNION ALL SELECT 'grades', grade_id, grade_name, NULL FROM ref_grades),
+    abbr(word, short) AS (VALUES {abbreviations}),
+    words AS (SELECT list, id, list_filter(string_split_regex(trim(lower(replace(name, '&', ' and '))), '\\s+'), lambda x: x <> '') AS ws FROM entries WHERE name IS NOT NULL),
+    forms(list, id, n, form) AS (SELECT list, id, 0, '' FROM words UNION ALL
+        SELECT f.list, f.id, f.n + 1, f.form || alt.x FROM forms f JOIN words w ON w.list = f.list AND w.id = f.id JOIN LATERAL (SELECT w.ws[f.n + 1] AS x UNION ALL SELECT short FROM abbr WHERE word = {red('w.ws[f.n + 1]')}) alt ON true WHERE f.n < len(w.ws)),
+    heads(list, id, ws) AS (SELECT list, id, string_split_regex(trim(name), '\\s+') FROM entries WHERE name IS NOT NULL UNION ALL SELECT list, id, ws[1:len(ws) - 1] FROM heads WHERE len(ws) > 1 AND lower(ws[len(ws)]) IN ({last})),
+    head AS (SELECT list, id, {red("array_to_string(arg_min(ws, len(ws)), ' ')")} AS h FROM heads GROUP BY list, id),
+    alias AS (SELECT list, id, min(p) AS p, a FROM (SELECT f.list, f.id, 1 AS p, {red('f.form')} AS a FROM forms f JOIN words w ON w.list = f.list AND w.id = f.id AND f.n = len(w.ws) UNION ALL SELECT list, id, 1, {red('code')} FROM entries WHERE trim(code) <> '' UNION ALL SELECT list, id, 0, {red('name')} FROM entries
+        UNION ALL SELECT list, min(id), 1, h FROM head WHERE length(h) > 4 GROUP BY list, h HAVING count(DISTINCT id) = 1) WHERE a <> '' GROUP BY list, id, a),
+    shared AS (SELECT list, h FROM head GROUP BY list, h HAVING count(DISTINCT id) > 1),
+    asked AS (SELECT DISTINCT list, value FROM (SELECT 'firms' AS list, "Firm" AS value FROM upgrades_downgrades UNION ALL SELECT 'grades', "FromGrade" FROM upgrades_downgrades UNION ALL SELECT 'grades', "ToGrade" FROM upgrades_downgrades) WHERE value IS NOT NULL AND NOT regexp_matches(value, '^\\s*$')),
+    tries AS (SELECT list, value, 0 AS j, {red(undecorated('value'))} AS v FROM asked UNION ALL SELECT list, value, 1, {red('value')} FROM asked),
+    hits AS (SELECT t.list, t.value, 2 * t.j AS kind, 0 AS d, a.p, a.id FROM tries t JOIN alias a ON a.list = t.list AND a.a = t.v
+        UNION ALL SELECT t.list, t.value, 2 * t.j + 1, 0, 9, 0 FROM tries t JOIN shared s ON s.list = t.list AND s.h = t.v
+        UNION ALL SELECT list, value, 4, d, p, id FROM (SELECT t.list, t.value, damerau_levenshtein(t.v, a.a) AS d, a.p, a.id, least(length(t.v), length(a.a)) AS m FROM tries t JOIN alias a ON a.list = t.list AND abs(length(a.a) - length(t.v)) <= 3 WHERE t.v <> '') WHERE d <= {allowed('m')}),
+    found AS (SELECT a.list, a.value, coalesce(arg_min(h.id, (h.kind, h.d, h.p, h.id)), 0) AS ref_id FROM asked a LEFT JOIN hits h ON h.list = a.list AND h.value = a.value GROUP BY a.list, a.value)"""
+
+
+_FIELDS_SQL = " UNION ALL ".join(f"SELECT row_id, '{f}' AS field_name, '{n}' AS list, \"{f}\" AS value FROM upgrades_downgrades WHERE NOT coalesce(no_analyst_coverage, false)" for f, n in FIELDS.items())
+_FOUND_SQL = f"{_match_sql()}, p4 AS (SELECT r.row_id, r.field_name, r.list, r.value, f.ref_id FROM ({_FIELDS_SQL}) r JOIN found f ON f.list = r.list AND f.value = r.value WHERE NOT EXISTS (SELECT 1 FROM entries e WHERE e.list = r.list AND e.name = r.value))"
+SQL: dict[str, str] = {
+    "p4_found": f"{_FOUND_SQL} SELECT row_id, field_name, ref_id FROM p4",
+    "p4_unmatched": rf"{_FOUND_SQL} SELECT field_name, lower(regexp_replace(value, '^\s+|\s+$', '', 'g')) AS value, count(*) AS n_rows FROM p4 WHERE ref_id = 0 GROUP BY 1, 2",
+}
