@@ -5,6 +5,7 @@ import math
 import os
 
 import duckdb
+import pandas as pd
 
 
 def connect(d: str):
@@ -16,7 +17,7 @@ def connect(d: str):
 
 
 def plain(v):
-    if v is None or v != v:
+    if v is None or v is pd.NA or v != v:
         return None
     v = v.item() if hasattr(v, "item") else v
     if isinstance(v, float):

@@ -294,7 +294,7 @@ def test_feeds(spark, tmp_path):
     assert context_errors(a, day.isoformat(), manifest) == ["finra_short_volume: 4 rows, manifest 5"]
     log = tmp_path / "logs"
     log.mkdir()
-    (log / "a.jsonl").write_text('{"ts":"1","event":"symbol_failed","symbol":"A"}\nnot json\n{"ts":"2","event":"fine"}\n')
+    (log / "a.jsonl").write_text('{"ts":"1","event":"symbol_failure","symbol":"A"}\nnot json\n{"ts":"2","event":"fine"}\n')
     assert [r.symbol for r in feeds.recent_failures(spark, str(log)).collect()] == ["A"]
 
 
@@ -327,7 +327,8 @@ def test_seal_and_publish(spark, tmp_path):
     assert evidence.manifest_errors(manifest | {"status": "partial"}, root) and evidence.manifest_errors(manifest | {"extra": 1}, root)
     store = evidence.FolderStore(tmp_path / "remote")
     ready = evidence.publish(root, day, store)
-    assert store.log[-1] == f"ready/date={day}.json" and store.log[-2].endswith("manifest.json") and ready["generation"] == manifest["generation"]
+    put = sorted(p.relative_to(tmp_path / "remote").as_posix() for p in (tmp_path / "remote").rglob("*") if p.is_file())
+    assert put[-1] == f"ready/date={day}.json" and len(put) == 2 + len(manifest["files"]) and ready["generation"] == manifest["generation"]
     data = root / manifest["files"][0]["path"]
     data.write_bytes(data.read_bytes() + b"x")
     with pytest.raises(evidence.SealError, match="file"):

@@ -85,7 +85,7 @@ def test_snapshot_changes_against_brute_force(spark):
     t = [datetime(2026, 1, 1, h) for h in range(4)]
     rows = [(rng.choice([None, "", "A", "B", "C", *[f"s{i}" for i in range(60)]]), rng.choice([None, "d1", "d2", "d3", "d4"]), i, rng.choice(t), rng.choice(values), rng.choice(values)) for i in range(700)]
     rows += rows[:40]
-    got = {tuple(r) for r in snapshot_diff.snapshot_changes(_records(spark, rows), bucket_records=16, first_cells=12).select("record_key", "load", "change_kind").collect()}
+    got = {tuple(r) for r in snapshot_diff.snapshot_changes(_records(spark, rows), bucket_records=16, least_cells=12).select("record_key", "load", "change_kind").collect()}
     assert got == _brute(rows)
 
 

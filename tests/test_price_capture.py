@@ -54,7 +54,7 @@ def test_capture_verify_seal(spark, tmp_path):
     sealed = price_capture.seal(spark, root, TARGET, known, now)
     assert len(sealed["files"]) == 2
     store = evidence.FolderStore(tmp_path / "remote")
-    assert evidence.publish(tmp_path, "2026-08-27", store)["generation"] == sealed["generation"]
+    assert evidence.publish(tmp_path, "2026-08-27", store, evidence.PRICE_BUNDLE, spark)["generation"] == sealed["generation"]
     path = tmp_path / "_price_manifests" / "date=2026-08-27" / "manifest.json"
     evidence.write_json(path, evidence.read_json(path) | {"failures": ["AAPL"]})
     wrong = price_capture.verify(spark, root, TARGET, known, now)

@@ -4,10 +4,10 @@ import pytest
 
 from tests.conftest import DATA
 from tests.oracle import connect, rows
-from tidemark.plans import archive, changes
+from tidemark.plans import archive, changes, operators
 
-SQL = {**changes.SQL, **archive.SQL}
-QUERIES = {**changes.QUERIES, **archive.QUERIES}
+SQL = {**changes.SQL, **archive.SQL, **operators.SQL}
+QUERIES = {**changes.QUERIES, **archive.QUERIES, **operators.QUERIES}
 
 
 @pytest.fixture(scope="module")

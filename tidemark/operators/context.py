@@ -1,15 +1,23 @@
-"""Verification of market-context partitions: one aggregate row per dataset, then plain rules."""
+"""Capture and verification of market-context partitions: one aggregate row per dataset, then plain rules."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date
+from functools import reduce
 from pathlib import Path
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import utc_day
+from ..session import materialize
+from ..sources import feeds
 from ..sources.archive import Archive
 from ..sources.feeds import LAG_LIMITS
-from .evidence import capture_intact
+from ..sources.sinks import write_partition
+from ..sources.vendor import redacted
+from .evidence import capture, capture_intact, read_json, write_atomic, write_json
 
 SCOPE = {"cftc_tff_positioning": ("exactly", {"NASDAQ100", "SP500"}), "finra_short_volume": ("at least", {"QQQ", "SPY"}), "occ_account_volume": ("exactly", {"QQQ", "SPY"})}
 
@@ -59,12 +67,62 @@ def context_errors(archive: Archive, day: str, manifest: dict, sources: Path | N
     return out
 
 
-def collect_context(readers: dict, day: str) -> dict:
-    """Run every dataset's reader; one that fails doesn't keep the others. readers: name -> () -> DataFrame. Status is partial if any failed."""
-    frames, errors = {}, {}
-    for name, read in readers.items():
+def _read(spark: SparkSession, dataset: str, paths: list[tuple[str, str, str]], run_date: date, snapshot_utc: str, run_id: str) -> DataFrame:
+    """paths: (file, url, symbol) of one dataset's sources."""
+    frames = []
+    for path, url, symbol in paths:
+        if dataset == "cftc_tff_positioning":
+            frames.append(feeds.read_cftc(spark, path, run_date, snapshot_utc, run_id, url))
+        elif dataset == "finra_short_volume":
+            frames.append(feeds.read_finra(spark, path, run_date, snapshot_utc, run_id, url))
+        else:
+            frames.append(feeds.read_occ(spark, path, symbol, run_date, snapshot_utc, run_id, url))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def run_context(spark: SparkSession, root: str, run_date: date, fetch: Callable[[str, date, str], tuple[str, bytes]], run_id: str, snapshot_utc: str, resume: bool = False, lookback: int = 7) -> dict:
+    """Capture, read and write the day's market feeds; the manifest, which is also written to _context_manifests.
+
+    fetch(dataset, date, symbol) -> (url, bytes); it raises feeds.NotPublished for a date the feed doesn't have. FINRA and OCC are asked for the run's date and
+    up to `lookback` days before, and must hold the date asked for, OCC for all its symbols; CFTC is asked for this year's file, then last year's. A feed that
+    fails doesn't keep the others: the manifest is then partial. A day already captured is an error, or with `resume` taken over if it still verifies.
+    """
+    day, base = run_date.isoformat(), Path(root)
+    note, archive = base / "_context_manifests" / f"date={day}" / "manifest.json", Archive(spark, root)
+    if note.exists():
+        if not resume:
+            raise FileExistsError(f"{day} is captured already")
+        if not context_errors(archive, day, old := read_json(note), base / "_sources"):
+            return old
+    entries, errors = {}, {}
+    for dataset, (_, wanted) in SCOPE.items():
+        names = sorted(wanted) if dataset == "occ_account_volume" else [""]
+
+        def read(asked: date, dataset=dataset, names=names) -> tuple[DataFrame, list[dict]]:
+            paths, captures = [], []
+            for symbol in names:
+                url, content = fetch(dataset, asked, symbol)
+                name = "-".join(x for x in (dataset, symbol, asked.isoformat()) if x)
+                raw = base / "_staging" / "context" / (name + (".zip" if dataset == "cftc_tff_positioning" else ".txt"))
+                write_atomic(raw, content)
+                paths.append((str(raw), url, symbol))
+                captures.append((name, url, content))
+            df = materialize(_read(spark, dataset, paths, run_date, snapshot_utc, run_id))
+            if dataset != "cftc_tff_positioning" and [r[0] for r in df.select("source_date").distinct().limit(2).collect()] != [asked.isoformat()]:
+                raise feeds.FeedError(f"{dataset} holds another date than {asked}")
+            kept = [capture(base / "_sources" / dataset / f"date={day}", n, c) | {"url": u} for n, u, c in captures]
+            return df, [c | {"path": f"{dataset}/date={day}/{c['path']}"} for c in kept]
+
         try:
-            frames[name] = read()
+            if dataset == "cftc_tff_positioning":
+                (df, captures), _ = feeds.newest_of(read, [run_date, date(run_date.year - 1, 12, 31)])
+            else:
+                (df, captures), _ = feeds.newest_available(read, run_date, lookback)
+            write_partition(df, root, dataset, day)
+            entries[dataset] = {"status": "ok", "rows": df.count(), "captures": captures}
         except Exception as e:  # noqa: BLE001
-            errors[name] = str(e)
-    return {"date": day, "status": "partial" if errors else "complete", "errors": errors, "frames": frames}
+            errors[dataset] = redacted(str(e))
+            entries[dataset] = {"status": "error", "rows": 0, "captures": []}
+    manifest = {"date": day, "run_id": run_id, "snapshot_utc": snapshot_utc, "status": "partial" if errors else "complete", "errors": errors, "datasets": entries}
+    write_json(note, manifest)
+    return manifest

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import close_utc, is_session, session_axis, sessions_table
 from ..schemas import PRICE_ANCHORS, SCHEMAS
-from ..sources.archive import as_utc, exists
+from ..sources.archive import Archive, as_utc, exists
 from ..sources.sinks import write_partition
 from . import asof, prices
-from .evidence import SealError, canonical_json, identity, local_sha256, read_json, schema_hash, table_hash, write_json
+from .evidence import LEAST_COVERAGE, PRICE_BUNDLE, SealError, canonical_json, dataset_evidence, file_hashes, identity, partition_files, read_json, schema_hash, table_hash, write_bundle, write_json
 from .universe import provider_symbol, requested_symbols
 
 BATCH, TRIES, SCHEMA = 50, 2, "tidemark_prices_v1"
@@ -111,8 +111,8 @@ def read_prices(spark: SparkSession, root: str, target: date) -> DataFrame:
 
 
 def _output(spark: SparkSession, root: str, target: date, stored: DataFrame) -> dict:
-    files = sorted(p for p in Path(f"{root}/daily_prices/date={target}").glob("*.parquet"))
-    return {"rows": stored.count(), "schema_sha256": schema_hash(stored), "content": table_hash(stored, ["canonical_symbol", "bar_session"]), "files": [{"path": p.relative_to(root).as_posix(), "bytes": p.stat().st_size, "sha256": local_sha256(p)} for p in files]}
+    files = sorted(p.relative_to(root).as_posix() for p in Path(f"{root}/daily_prices/date={target}").glob("*.parquet"))
+    return {"rows": stored.count(), "schema_sha256": schema_hash(stored), "content": table_hash(stored, ["canonical_symbol", "bar_session"]), "files": file_hashes(spark, Path(root), files)}
 
 
 MANIFEST_KEYS = {"schema", "status", "dataset", "date", "session_close_utc", "started_utc", "finished_utc", "request", "request_sha256", "run_id", "provider_version", "failures", "coverage", "output", "identity_sha256"}
@@ -175,21 +175,10 @@ def verify(spark: SparkSession, root: str, target: date, universe: DataFrame, no
 
 
 def seal(spark: SparkSession, root: str, target: date, universe: DataFrame, now: datetime, producer: dict | None = None) -> dict:
-    """Verify again and write the manifest of a bundle of the price partition and its evidence; `evidence.publish` takes it from there."""
-    from .evidence import MANIFEST
-
+    """Verify again and seal the price partition and its manifest as a bundle of their own, beside any other of the day; `evidence.publish` with PRICE_BUNDLE takes it from there."""
     if errors := verify(spark, root, target, universe, now):
         raise SealError("; ".join(errors[:20]))
-    base = Path(root)
-    files = sorted([*base.glob(f"daily_prices/date={target}/*.parquet"), base / "_price_manifests" / f"date={target}" / "manifest.json"])
-    stored = read_prices(spark, root, target)
-    first, last = stored.agg(F.min("available_at_utc"), F.max("available_at_utc")).first()
-    manifest = {
-        "schema": MANIFEST, "status": "complete", "date": target.isoformat(), "session_close_utc": close_utc(target).isoformat(), "sealed_utc": now.isoformat(), "least_coverage": 0.95, "producer": producer or {},
-        "datasets": [{"dataset": "daily_prices", "rows": stored.count(), "pit_column": "available_at_utc", "first_known_utc": first, "last_known_utc": last, "schema_sha256": schema_hash(stored)}],
-        "files": [{"path": p.relative_to(base).as_posix(), "bytes": p.stat().st_size, "sha256": local_sha256(p)} for p in files],
-    }
-    manifest["identity_sha256"] = identity(manifest)
-    manifest["generation"] = f"{target}-{manifest['identity_sha256'][:16]}"
-    write_json(base / "_bundles" / f"date={target}" / "manifest.json", manifest)
-    return manifest
+    base, day = Path(root), target.isoformat()
+    e = dataset_evidence(Archive(spark, root), "daily_prices", day, None)
+    paths = [p for p in partition_files(base, day) if Path(p).parts[0] in ("daily_prices", "_price_manifests")]
+    return write_bundle(spark, base, PRICE_BUNDLE, day, [e], paths, now, LEAST_COVERAGE, producer)

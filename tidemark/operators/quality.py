@@ -14,7 +14,6 @@ an empty table gives empty results; a column name may be any string.
 
 from __future__ import annotations
 
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -33,13 +32,13 @@ FIRST_RANGE = 3
 
 
 def value_counts(rows: DataFrame, table_name: str, columns: list[str], load: str = "trading_date") -> DataFrame:
-    """table_name, load, column_name, num DOUBLE, txt STRING, c: how often each value occurs. Map-side combine makes the shuffle as large as the distinct values."""
+    """table_name, load, column_name, number, num DOUBLE, txt STRING, c: how often each value occurs. Map-side combine makes the shuffle as large as the distinct values."""
     kinds = dict(rows.dtypes)
     cells = []
     for c in columns:
         number = kinds[c] in ("double", "float", "bigint", "int", "smallint", "tinyint")
         v = F.col(f"`{c}`")
-        num = F.when(~F.isnan(v.cast("double")), F.round(v.cast("double"), 6) if kinds[c] in ("double", "float") else v.cast("double")) if number else F.lit(None).cast("double")
+        num = F.when(~F.isnan(v.cast("double")), v.cast("double")) if number else F.lit(None).cast("double")
         cells.append(F.struct(F.lit(c).alias("column_name"), num.alias("num"), (F.lit(None).cast("string") if number else v.cast("string")).alias("txt"), F.lit(number).alias("number")))
     long = rows.select(F.col(load).alias("load"), F.explode(F.array(*cells)).alias("x")).select("load", "x.*")
     return long.groupBy(F.lit(table_name).alias("table_name"), "load", "column_name", "number", "num", "txt").agg(F.count("*").alias("c"))
@@ -67,16 +66,17 @@ def median_of(counts: DataFrame) -> DataFrame:
 
 
 def base_profile(counts: DataFrame, violations: DataFrame | None = None) -> DataFrame:
-    """One row per (table, load, column) with the base aggregates; violations are null where no rule is checked."""
+    """One row per (table, load, column) with the base aggregates; violations are null where no rule is checked. Only the most frequent value goes by six decimals."""
     keys = ["table_name", "load", "column_name"]
-    missing = F.when(F.col("number"), F.col("num").isNull()).otherwise(F.col("txt").isNull() | F.col("txt").rlike(r"^\s*$"))
-    given = ~missing
+    given = F.when(F.col("number"), F.col("num").isNotNull()).otherwise(F.col("txt").isNotNull() & ~F.coalesce(F.col("txt").rlike(r"^\s*$"), F.lit(False)))
     agg = counts.groupBy(*keys).agg(
-        F.sum("c").alias("n_rows"), F.coalesce(F.sum(F.when(missing, F.col("c"))), F.lit(0)).alias("n_missing"), F.count_if(given).alias("n_distinct"),
-        F.min(F.when(given, F.col("num"))).alias("least"), F.max(F.when(given, F.col("num"))).alias("greatest"), F.coalesce(F.max(F.when(given, F.col("c"))), F.lit(0)).alias("mode_count"),
+        F.sum("c").alias("n_rows"), F.coalesce(F.sum(F.when(~given, F.col("c"))), F.lit(0)).alias("n_missing"), F.count_if(given).alias("n_distinct"),
+        F.min(F.when(given, F.col("num"))).alias("least"), F.max(F.when(given, F.col("num"))).alias("greatest"),
         F.min(F.when(given, F.col("txt"))).alias("first_text"), F.max(F.when(given, F.col("txt"))).alias("last_text"),
     )
-    out = agg.join(median_of(counts), keys, "left")
+    alike = counts.where(given).groupBy(*keys, F.round("num", 6).alias("num"), "txt").agg(F.sum("c").alias("c"))
+    out = agg.join(alike.groupBy(*keys).agg(F.max("c").alias("mode_count")), keys, "left").withColumn("mode_count", F.coalesce("mode_count", F.lit(0)))
+    out = out.join(median_of(counts), keys, "left")
     out = out.join(violations, keys, "left") if violations is not None else out.withColumn("violations", F.lit(None).cast("long"))
     return out.withColumn("missing_share", F.col("n_missing") / F.col("n_rows")).withColumn("mode_share", F.coalesce(F.try_divide("mode_count", F.col("n_rows") - F.col("n_missing")), F.lit(0.0)))
 
@@ -363,5 +363,3 @@ def load_issues(base: DataFrame, moved: DataFrame, columns: list[tuple[str, str]
         ((F.col("reach") >= least_auc(heaping * given)) & (F.col("mode_share") - F.col("mode_share_0") > heaping), "heaping"),
     ]
     return b.select("table_name", "column_name", "load", F.explode(F.array_compact(F.array(*[F.when(t, F.lit(n)) for t, n in tests]))).alias("issue"))
-
-

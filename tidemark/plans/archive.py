@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from ..functions.text import data_rows, day_of, is_blank, norm_symbol, utc_day, utc_time
-from ..operators import asof, prices, universe
+from ..functions.text import data_rows, norm_symbol, utc_time
+from ..operators import asof, prices
 from ..schemas import CFTC_SHARES, ESTIMATE_NUMBERS, METADATA_COLUMNS
 from ..session import table
 from ..sources import feeds
@@ -48,46 +47,12 @@ def latest_recommendations(spark: SparkSession, d: str) -> DataFrame:
     return asof.latest_per_key(r, ["symbol", "period"], ["at", "trading_date", "row_id"]).select("symbol", "period", "trading_date", "buy", "hold")
 
 
-@query(f"""SELECT row_id, {SYMBOL_SQL} AS symbol, trading_date FROM estimates WHERE trading_date >= '2026-06-12' AND trading_date <= '2026-07-03' AND {SYMBOL_SQL} IN ('OMNIA', 'QLCMF') AND NOT coalesce(no_analyst_coverage, false)""")
-def scan_range_and_symbols(spark: SparkSession, d: str) -> DataFrame:
-    """Trading-date range, symbol list and marker filter in one scan."""
-    e = table(spark, d, "estimates").where(F.col("trading_date").between("2026-06-12", "2026-07-03") & data_rows())
-    return e.withColumn("symbol", norm_symbol("symbol")).where(F.col("symbol").isin("OMNIA", "QLCMF")).select("row_id", "symbol", "trading_date")
-
-
-@query(f"SELECT row_id, strftime({AT_SQL} AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS known_at FROM profile WHERE {AT_SQL} <= TIMESTAMPTZ '2026-07-01 00:00:00+00'")
-def as_of_filter(spark: SparkSession, d: str) -> DataFrame:
-    """Rows known by a time, whatever form their time is written in."""
-    p = table(spark, d, "profile").select("row_id", utc_time("snapshot_utc").alias("at")).where(F.col("at") <= F.lit("2026-07-01T00:00:00Z").cast("timestamp"))
-    return p.select("row_id", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("known_at"))
-
-
-@query("SELECT DISTINCT trading_date FROM (SELECT trading_date FROM recommendations UNION ALL SELECT trading_date FROM estimates UNION ALL SELECT trading_date FROM profile)")
-def available_dates(spark: SparkSession, d: str) -> DataFrame:
-    """Union of the partitions of several datasets."""
-    parts = [table(spark, d, t).select("trading_date").distinct() for t in ("recommendations", "estimates", "profile")]
-    return parts[0].union(parts[1]).union(parts[2]).distinct()
-
-
 @query("SELECT o_orderstatus, count(*) AS n, strftime(min(o_orderdate), '%Y-%m-%d') AS first_date, strftime(max(o_orderdate), '%Y-%m-%d') AS last_date FROM orders GROUP BY 1")
 def partition_summary(spark: SparkSession, d: str) -> DataFrame:
     """Count, first and last date of each part."""
     return table(spark, d, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.date_format(F.min("o_orderdate"), "yyyy-MM-dd").alias("first_date"), F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("last_date"))
 
 
-@query("SELECT dataset, partitions, first_date, last_date FROM (SELECT 'profile' AS dataset, count(DISTINCT trading_date) AS partitions, min(trading_date) AS first_date, max(trading_date) AS last_date FROM profile UNION ALL SELECT 'estimates', count(DISTINCT trading_date), min(trading_date), max(trading_date) FROM estimates)")
-def archive_summary(spark: SparkSession, d: str) -> DataFrame:
-    """Partitions of each dataset with the first and the last."""
-    one = lambda t: table(spark, d, t).agg(F.count_distinct("trading_date").alias("partitions"), F.min("trading_date").alias("first_date"), F.max("trading_date").alias("last_date")).select(F.lit(t).alias("dataset"), "*")
-    return one("profile").unionByName(one("estimates"))
-
-
-@query(f"SELECT trading_date, count(DISTINCT {SYMBOL_SQL}) AS n_symbols FROM profile GROUP BY 1")
-def per_date_universe(spark: SparkSession, d: str) -> DataFrame:
-    """How many symbols each partition had."""
-    return table(spark, d, "profile").groupBy("trading_date").agg(F.count_distinct(norm_symbol("symbol")).alias("n_symbols"))
-
-
 @query("""SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders WHERE o_orderdate <= TIMESTAMP '1996-06-01')""")
 def latest_report(spark: SparkSession, d: str) -> DataFrame:
     """Rows of the latest date not after a day. The one-row maximum is the only thing broadcast."""
@@ -104,38 +69,9 @@ def first_seen_events(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").groupBy("user_id", "event_type").agg(F.min("ts").alias("first_seen"))
 
 
-_KEYS = ["symbol", '"GradeDate"', '"Firm"', '"FromGrade"', '"ToGrade"', '"Action"']
-_KEY_SQL = ", ".join(rf"CASE WHEN {c} IS NULL OR regexp_matches({c}, '^\s*$') THEN '' ELSE {c} END" for c in _KEYS)
-
-
-@query(f"SELECT count(*) AS n_events, min(row_id) AS first_row, max(row_id) AS last_row FROM (SELECT min(row_id) AS row_id FROM upgrades_downgrades GROUP BY {_KEY_SQL})")
-def event_index(spark: SparkSession, d: str) -> DataFrame:
-    """The deduplicated event index's size: blanks in keys are equal, values aren't trimmed."""
-    u = table(spark, d, "upgrades_downgrades")
-    keys = [F.when(is_blank(F.col(c.strip('"'))), F.lit("")).otherwise(F.col(c.strip('"'))).alias(f"k{i}") for i, c in enumerate(_KEYS)]
-    first = u.groupBy(*keys).agg(F.min("row_id").alias("row_id"))
-    return first.agg(F.count("*").alias("n_events"), F.min("row_id").alias("first_row"), F.max("row_id").alias("last_row"))
-
 
-_NEW = "(SELECT row_id, " + ", ".join(f"CASE WHEN {c} IS NULL OR regexp_matches({c}, '^\\s*$') THEN '' ELSE {c} END AS k{i}" for i, c in enumerate(_KEYS)) + ", run_id FROM upgrades_downgrades)"
 
 
-@query(f"""SELECT min(row_id) AS row_id FROM {_NEW} n WHERE run_id >= 'run_20260814' AND NOT EXISTS (SELECT 1 FROM {_NEW} o WHERE o.run_id < 'run_20260814' AND o.k0 = n.k0 AND o.k1 = n.k1 AND o.k2 = n.k2 AND o.k3 = n.k3 AND o.k4 = n.k4 AND o.k5 = n.k5)
-    GROUP BY k0, k1, k2, k3, k4, k5""")
-def new_events(spark: SparkSession, d: str) -> DataFrame:
-    """Events of the last batches that earlier ones didn't hold: anti-join, then first per key."""
-    u = table(spark, d, "upgrades_downgrades")
-    keyed = u.select("row_id", "run_id", *[F.when(is_blank(F.col(c.strip('"'))), F.lit("")).otherwise(F.col(c.strip('"'))).alias(f"k{i}") for i, c in enumerate(_KEYS)])
-    names = [f"k{i}" for i in range(len(_KEYS))]
-    fresh = keyed.where("run_id >= 'run_20260814'").join(keyed.where("run_id < 'run_20260814'").select(*names).distinct(), names, "left_anti")
-    return fresh.groupBy(*names).agg(F.min("row_id").alias("row_id")).select("row_id")
-
-
-@query("SELECT event_id, coalesce(CASE WHEN trim(event_type) = '' THEN NULL ELSE trim(event_type) END, 'unknown') AS action, strftime(ts, '%Y-%m-%d') AS event_date FROM events")
-def event_canonicalise(spark: SparkSession, d: str) -> DataFrame:
-    """Blank-aware coalesce and the date of an event."""
-    return table(spark, d, "events").select("event_id", F.coalesce(F.nullif(F.trim("event_type"), F.lit("")), F.lit("unknown")).alias("action"), F.date_format("ts", "yyyy-MM-dd").alias("event_date"))
-
 
 @query("""SELECT user_id, event_type, value FROM (SELECT user_id, event_type, value, row_number() OVER (PARTITION BY user_id, event_type ORDER BY p DESC, ts DESC, event_id DESC) AS rn FROM
     (SELECT *, CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN 1 ELSE 0 END AS p FROM events)) WHERE rn = 1""")
@@ -173,12 +109,6 @@ def asof_join_orders_events(spark: SparkSession, d: str) -> DataFrame:
 # --- payloads, names and values ----------------------------------------------------------------------------------------
 
 
-@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")
-def payload_props_k(spark: SparkSession, d: str) -> DataFrame:
-    """A typed value out of a JSON payload."""
-    return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("int").alias("k"))
-
-
 @query("""SELECT c_custkey AS id, 'customer' AS source_table, c_acctbal AS balance FROM customer UNION ALL SELECT s_suppkey, 'supplier', s_acctbal FROM supplier""")
 def tagged_union(spark: SparkSession, d: str) -> DataFrame:
     """Tables of one kind united, with the table's name in a column."""
@@ -222,20 +152,6 @@ def data_bearing(spark: SparkSession, d: str) -> DataFrame:
 # --- universe and coverage ---------------------------------------------------------------------------------------------
 
 
-@query(r"SELECT p_partkey, p_name FROM part WHERE NOT regexp_matches(p_name, '\b(red|blue)\b', 'i')")
-def universe_filter_parts(spark: SparkSession, d: str) -> DataFrame:
-    """Whole-word exclusion by pattern, whatever the case."""
-    return table(spark, d, "part").where(~F.col("p_name").rlike(r"(?i)\b(red|blue)\b")).select("p_partkey", "p_name")
-
-
-@query("""SELECT count(*) AS listings, count(CASE WHEN n THEN 1 END) AS after_security_filter, count(CASE WHEN n AND cap >= 1000 THEN 1 END) AS after_market_cap_filter FROM
-    (SELECT NOT regexp_matches(p_name, '\\b(units?|rights?|red)\\b', 'i') AS n, p_retailprice AS cap FROM part)""")
-def universe_funnel(spark: SparkSession, d: str) -> DataFrame:
-    """How many listings pass each step of a selection."""
-    p = table(spark, d, "part").select((~F.col("p_name").rlike(r"(?i)\b(units?|rights?|red)\b")).alias("n"), universe.market_cap(F.col("p_retailprice")).alias("cap"))
-    return p.agg(F.count("*").alias("listings"), F.count_if("n").alias("after_security_filter"), F.count_if(F.col("n") & (F.col("cap") >= 1000)).alias("after_market_cap_filter"))
-
-
 _Q1 = "SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1996-04-01'"
 
 
@@ -295,25 +211,12 @@ def daily_ohlc_bars(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").groupBy("event_type", F.date_format("ts", "yyyy-MM-dd").alias("bar_session")).agg(F.min_by("value", at).alias("open"), F.max("value").alias("high"), F.min("value").alias("low"), F.max_by("value", at).alias("close"))
 
 
-@query("SELECT user_id, CAST(count(DISTINCT CAST(ts AS DATE)) = 30 AS BOOLEAN) AS complete FROM events GROUP BY 1")
-def tail_completeness(spark: SparkSession, d: str) -> DataFrame:
-    """Relational division: who has every day of the axis."""
-    return table(spark, d, "events").groupBy("user_id").agg((F.count_distinct(F.to_date("ts")) == 30).alias("complete"))
-
-
 @query("SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS session_date FROM events ORDER BY 1 DESC LIMIT 20")
 def session_axis_last20(spark: SparkSession, d: str) -> DataFrame:
     """The last 20 distinct days."""
     return table(spark, d, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("session_date")).distinct().orderBy(F.desc("session_date")).limit(20)
 
 
-@query("SELECT l_orderkey, l_linenumber, CAST((l_quantity <= 0)::INT + (l_discount > 0.08)::INT + (l_tax < 0.01)::INT + (l_extendedprice < l_quantity)::INT AS INTEGER) AS n_errors FROM lineitem")
-def row_contract_errors(spark: SparkSession, d: str) -> DataFrame:
-    """How many rules of a contract each row breaks."""
-    rules = [F.col("l_quantity") <= 0, F.col("l_discount") > 0.08, F.col("l_tax") < 0.01, F.col("l_extendedprice") < F.col("l_quantity")]
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.size(F.array_compact(F.array(*[F.when(r, F.lit(i)) for i, r in enumerate(rules)]))).alias("n_errors"))
-
-
 @query("""SELECT l_orderkey, l_linenumber FROM lineitem WHERE abs(l_quantity * (l_extendedprice / l_quantity) - l_extendedprice) <= greatest(1e-10 * greatest(abs(l_quantity * (l_extendedprice / l_quantity)), abs(l_extendedprice)), 1e-10)
     AND l_extendedprice >= greatest(l_discount, l_tax, l_quantity) AND l_tax <= least(l_discount, l_extendedprice, l_quantity)""")
 def ohlc_envelope(spark: SparkSession, d: str) -> DataFrame:
@@ -342,14 +245,6 @@ def sortedness_check(spark: SparkSession, d: str) -> DataFrame:
     return prices.sortedness(o)
 
 
-@query("SELECT p_partkey, p_retailprice * 0.85 AS adjusted_open, greatest(p_retailprice * 1.01 * 0.85, p_retailprice * 0.85, p_retailprice * 0.86) AS adjusted_high, least(p_retailprice * 0.99 * 0.85, p_retailprice * 0.85, p_retailprice * 0.86) AS adjusted_low FROM part")
-def adjusted_bars(spark: SparkSession, d: str) -> DataFrame:
-    """Prices times a factor, with the envelope widened to hold the adjusted open and close."""
-    p = F.col("p_retailprice")
-    o, c = p * 0.85, p * 0.86
-    return table(spark, d, "part").select("p_partkey", o.alias("adjusted_open"), F.greatest(p * 1.01 * 0.85, o, c).alias("adjusted_high"), F.least(p * 0.99 * 0.85, o, c).alias("adjusted_low"))
-
-
 # --- market context ------------------------------------------------------------------------------------------------------
 
 
@@ -365,12 +260,6 @@ def net_share(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "cftc_tff_positioning").select("row_id", *[feeds.net_share(p).alias(f"{p}_net_share") for p in CFTC_SHARES])
 
 
-@query(f"SELECT row_id, date_diff('day', CAST(strptime(substr(regexp_replace(source_date, '[^0-9]', '', 'g'), 1, 8), '%Y%m%d') AS DATE), CAST({AT_SQL} AT TIME ZONE 'UTC' AS DATE)) AS true_lag_days FROM finra_short_volume")
-def source_lag(spark: SparkSession, d: str) -> DataFrame:
-    """Days from a report's date to its arrival, from the dates themselves."""
-    return table(spark, d, "finra_short_volume").select("row_id", F.datediff(day_of(utc_time("snapshot_utc")), utc_day("source_date")).cast("bigint").alias("true_lag_days"))
-
-
 @query("SELECT market, count(*) AS n, count(DISTINCT source_date) AS dates, CAST(count(DISTINCT dataset) = 1 AS BOOLEAN) AS uniform FROM cftc_tff_positioning GROUP BY 1")
 def uniformity(spark: SparkSession, d: str) -> DataFrame:
     """Uniformity checks in one aggregate per group."""
@@ -383,16 +272,3 @@ def code_labels(spark: SparkSession, d: str) -> DataFrame:
     m = F.create_map(*[F.lit(x) for x in ("A", "accepted", "N", "none", "R", "returned")])
     return table(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").alias("qty")).withColumn("label", F.try_element_at(m, F.col("l_returnflag")))
 
-
-@query("SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey HAVING count(DISTINCT o_orderpriority) = 5")
-def complete_in_all(spark: SparkSession, d: str) -> DataFrame:
-    """Keys that every part holds: the set a resumed run skips."""
-    o = table(spark, d, "orders").where("o_orderstatus = 'F'").groupBy("o_custkey").agg(F.count_distinct("o_orderpriority").alias("n"))
-    return o.where("n = 5").select("o_custkey")
-
-
-@query("SELECT trading_date, prev FROM (SELECT trading_date, lag(trading_date) OVER (ORDER BY trading_date) AS prev FROM (SELECT DISTINCT trading_date FROM profile)) WHERE prev IS NOT NULL")
-def previous_partition(spark: SparkSession, d: str) -> DataFrame:
-    """Each partition with the one before; the window sees one row per partition."""
-    t = table(spark, d, "profile").select("trading_date").distinct()
-    return t.withColumn("prev", F.lag("trading_date").over(Window.orderBy("trading_date"))).where("prev is not null")

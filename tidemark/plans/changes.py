@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import data_rows, day_of, is_blank, norm_symbol, present, strip, utc_day, utc_time
+from ..functions.text import data_rows, is_blank, norm_symbol, present, strip, utc_day, utc_time
 from ..operators import asof_join, history, panes, quality, snapshot_diff
+from ..schemas import CFTC_NET_SHARES, CFTC_NUMBERS, CFTC_TEXT, FINRA_NUMBERS, PROFILE_FIELDS, PROFILE_TEXT
 from ..session import table
 
 TARGET_VALUES = ["current", "low", "high", "mean", "median"]
@@ -251,6 +252,63 @@ def _p3_sql() -> str:
         UNION ALL SELECT table_name, column_name, trading_date, 'heaping' FROM q WHERE mode_share - mode0 > 0.25"""
 
 
+_COMMON = {"row_id": "num", "symbol": "txt", "snapshot_utc": "txt", "dataset": "txt", "run_id": "txt", "no_analyst_coverage": "bool"}
+_MARKET = {"row_id": "num", "report_id": "num", "symbol": "txt", "snapshot_utc": "txt", "dataset": "txt", "run_id": "txt", "source_date": "txt", "source_url": "txt", "source_sha256": "txt", "source_lag_days": "num"}
+_KINDS = {
+    "analyst_price_targets": _COMMON | dict.fromkeys(TARGET_VALUES, "num"),
+    "recommendations": _COMMON | {"period": "txt"} | dict.fromkeys(RECOMMENDATION_VALUES, "num"),
+    "estimates": _COMMON | dict.fromkeys(["estimate_table", "period", "currency"], "txt") | dict.fromkeys(ESTIMATE_VALUES, "num"),
+    "profile": _COMMON | {c: "txt" if c in PROFILE_TEXT else "num" for c in PROFILE_FIELDS},
+    "upgrades_downgrades": _COMMON | dict.fromkeys(["GradeDate", "Firm", "FromGrade", "ToGrade", "Action", "priceTargetAction"], "txt") | dict.fromkeys(["currentPriceTarget", "priorPriceTarget"], "num"),
+    "finra_short_volume": _MARKET | dict.fromkeys(FINRA_NUMBERS, "num") | {"market": "txt"},
+    "cftc_tff_positioning": _MARKET | dict.fromkeys(CFTC_TEXT, "txt") | dict.fromkeys([*CFTC_NUMBERS, *CFTC_NET_SHARES], "num"),
+}
+
+
+def _broken_sql(name: str, c: str, kind: str) -> str:
+    """The rules of _rules and _text_rule; NULL where none is checked."""
+    v, present_v = f'"{c}"', _present_sql(c)
+    if (name, c) in WATCHED:
+        return {
+            "shortPercentOfFloat": f"{present_v} < 0 OR {present_v} > 1",
+            "hold": f"{present_v} < 0 OR {present_v} > 500",
+            "median": f"isinf({present_v}) OR {present_v} <= 0 OR coalesce({present_v} < {_present_sql('low')}, false) OR coalesce({present_v} > {_present_sql('high')}, false)",
+        }[c]
+    if kind != "txt":
+        return "NULL"
+    if c == "GradeDate":
+        bad = f"{GRADE_TIME_SQL} IS NULL"
+    elif c == "snapshot_utc":
+        bad = "TRY_CAST(snapshot_utc AS TIMESTAMPTZ) IS NULL"
+    elif c == "source_date":
+        bad = "try_strptime(substr(regexp_replace(source_date, '[^0-9]', '', 'g'), 1, 8), '%Y%m%d') IS NULL"
+    elif c == "symbol":
+        bad = f"NOT regexp_matches({SYMBOL_SQL}, '^[A-Z0-9]+(-[A-Z0-9]+)?$')"
+    elif c == "dataset":
+        bad = f"trim(dataset) <> '{name}'"
+    elif c in PATTERNS:
+        bad = f"NOT regexp_matches(trim({v}), '{PATTERNS[c]}')"
+    else:
+        bad = rf"NOT regexp_matches({v}, '[\p{{L}}\p{{N}}]') OR regexp_matches({v}, '[\x00-\x1f\x7f\x{{FFFD}}]')"
+    return rf"{v} IS NOT NULL AND NOT regexp_matches({v}, '^\s*$') AND ({bad})"
+
+
+def _p3_profile_sql() -> str:
+    parts = []
+    for name in PROFILED:
+        market = name in ("finra_short_volume", "cftc_tff_positioning")
+        load = "coalesce(strftime(try_strptime(substr(regexp_replace(source_date, '[^0-9]', '', 'g'), 1, 8), '%Y%m%d'), '%Y-%m-%d'), trim(source_date), '')" if market else "trading_date"
+        where = "" if market else " WHERE NOT coalesce(no_analyst_coverage, false)"
+        for c, kind in _KINDS[name].items():
+            num = f'CASE WHEN isnan(CAST("{c}" AS DOUBLE)) THEN NULL ELSE CAST("{c}" AS DOUBLE) END' if kind == "num" else "CAST(NULL AS DOUBLE)"
+            txt = "CAST(NULL AS VARCHAR)" if kind == "num" else rf"""CASE WHEN regexp_matches(CAST("{c}" AS VARCHAR), '^\s*$') THEN NULL ELSE CAST("{c}" AS VARCHAR) END"""
+            parts.append(f"SELECT '{name}' AS table_name, {load} AS trading_date, '{c}' AS column_name, {num} AS num, {txt} AS txt, CAST({_broken_sql(name, c, kind)} AS BOOLEAN) AS bad, {str(kind == 'txt' or (name, c) in WATCHED).lower()} AS ruled FROM {name}{where}")
+    return f"""WITH r AS ({' UNION ALL '.join(parts)}),
+        a AS (SELECT table_name, trading_date, column_name, count(*) AS n_rows, count(*) - count(num) - count(txt) AS n_missing, count(DISTINCT num) + count(DISTINCT txt) AS n_distinct, min(num) AS least, max(num) AS greatest, min(txt) AS first_text, max(txt) AS last_text,
+                coalesce(list_max(map_values(histogram(round(num, 6)))), list_max(map_values(histogram(txt))), 0) AS mode_count, list_sort(list(num) FILTER (WHERE num IS NOT NULL AND NOT isinf(num))) AS l, CASE WHEN bool_or(ruled) THEN count(*) FILTER (WHERE bad) END AS violations FROM r GROUP BY 1, 2, 3)
+        SELECT table_name, trading_date, column_name, n_rows, n_missing, n_distinct, least, greatest, first_text, last_text, CAST(mode_count AS BIGINT) AS mode_count, (l[(len(l) - 1) // 2 + 1] + l[len(l) // 2 + 1]) / 2 AS median, violations FROM a"""
+
+
 # --- 5 ---------------------------------------------------------------------------------------------------------------
 
 
@@ -277,12 +335,15 @@ def _p5_sql() -> str:
     def num(c: str) -> str:
         return f"CASE WHEN isnan({c}) OR isinf({c}) THEN NULL ELSE {c} END"
 
-    return f"""WITH one AS (SELECT * FROM (SELECT {SYMBOL_SQL} AS symbol, trading_date AS d, {key('sector')} AS a, {key('industry')} AS b, {num('"sharesOutstanding"')} AS x, {num('"floatShares"')} AS y,
+    def written(c: str) -> str:
+        return rf"CASE WHEN {key(c)} IS NOT NULL THEN regexp_replace({c}, '^\s+|\s+$', '', 'g') END"
+
+    return f"""WITH one AS (SELECT * FROM (SELECT {SYMBOL_SQL} AS symbol, trading_date AS d, {key('sector')} AS a, {key('industry')} AS b, {written('sector')} AS aw, {written('industry')} AS bw, {num('"sharesOutstanding"')} AS x, {num('"floatShares"')} AS y,
             row_number() OVER (PARTITION BY {SYMBOL_SQL}, trading_date ORDER BY {AT_SQL} DESC, row_id) AS rn FROM profile WHERE NOT coalesce(no_analyst_coverage, false)) WHERE rn = 1 AND symbol IS NOT NULL AND d IS NOT NULL),
-        k AS (SELECT symbol, d, {', '.join(f'last_value({c} IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {c}' for c in 'abxy')} FROM one),
+        k AS (SELECT symbol, d, {', '.join(f'last_value({c} IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {c}' for c in ('a', 'b', 'aw', 'bw', 'x', 'y'))} FROM one),
         l AS (SELECT *, row_number() OVER w AS nr, {', '.join(f'lag({c}) OVER w AS {c}0' for c in 'abxy')} FROM k WINDOW w AS (PARTITION BY symbol ORDER BY d)),
-        s AS (SELECT symbol, d FROM l WHERE nr = 1 OR a IS DISTINCT FROM a0 OR b IS DISTINCT FROM b0 OR {' OR '.join(f'({c} IS NULL) <> ({c}0 IS NULL) OR abs({c} - {c}0) > 1e-6 * greatest(abs({c}), abs({c}0))' for c in 'xy')})
-        SELECT symbol, d AS valid_from, coalesce(lead(d) OVER (PARTITION BY symbol ORDER BY d), '9999-12-31') AS valid_to FROM s"""
+        s AS (SELECT symbol, d, aw, bw, x, y FROM l WHERE nr = 1 OR a IS DISTINCT FROM a0 OR b IS DISTINCT FROM b0 OR {' OR '.join(f'({c} IS NULL) <> ({c}0 IS NULL) OR abs({c} - {c}0) > 1e-6 * greatest(abs({c}), abs({c}0))' for c in 'xy')})
+        SELECT symbol, row_number() OVER w AS version, d AS valid_from, coalesce(lead(d) OVER w, '9999-12-31') AS valid_to, aw AS sector, bw AS industry, x AS "sharesOutstanding", y AS "floatShares" FROM s WINDOW w AS (PARTITION BY symbol ORDER BY d)"""
 
 
 # --- 6 ---------------------------------------------------------------------------------------------------------------
@@ -322,6 +383,7 @@ QUERIES = {
     "p1_found": p1_found, "p1_change_counts": p1_change_counts, "p2_found": p2_found, "p2_totals": p2_totals, "p2_sliding_totals": p2_sliding_totals, "p2_left_out": p2_left_out, "p3_found": p3_found, "p3_profile": p3_profile, "p3_drift": p3_drift,
     "p5_found": p5_found, "p5_history": p5_history, "p6_found": p6_found, "p6_attributes": p6_attributes,
 }
-SQL = {"p1_found": _p1_sql(), "p2_found": _p2_sql(), "p2_totals": _p2_totals_sql(), "p2_sliding_totals": _p2_sliding_sql(), "p2_left_out": _p2_left_out_sql(), "p3_found": _p3_sql(), "p5_found": _p5_sql(), "p6_found": _p6_sql()}
+SQL = {"p1_found": _p1_sql(), "p2_found": _p2_sql(), "p2_totals": _p2_totals_sql(), "p2_sliding_totals": _p2_sliding_sql(), "p2_left_out": _p2_left_out_sql(), "p3_found": _p3_sql(), "p3_profile": _p3_profile_sql(), "p5_history": _p5_sql(), "p6_found": _p6_sql()}
+SQL["p5_found"] = f"SELECT symbol, valid_from, valid_to FROM ({SQL['p5_history']})"
 SQL["p1_change_counts"] = f"SELECT table_name, trading_date, change_kind, count(*) AS n_records FROM ({SQL['p1_found']}) GROUP BY 1, 2, 3"
 SQL["p6_attributes"] = f'SELECT f.row_id AS row_id, f.profile_row_id AS profile_row_id, q.sector AS sector, q."marketCap" AS market_cap FROM ({SQL["p6_found"]}) f JOIN profile q ON q.row_id = f.profile_row_id'

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
@@ -52,6 +53,14 @@ def drop_empty_raw(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in raw if not used[c]])
 
 
+def _moved(fs, source, target) -> bool:
+    """Whether a rename worked; file systems say no in two ways."""
+    try:
+        return bool(fs.rename(source, target))
+    except Py4JJavaError:
+        return False
+
+
 def swap_in(spark: SparkSession, staged: str, target: str) -> None:
     """Puts a finished folder in the place of another: the old one goes aside, the new one in, then the old one away.
 
@@ -63,9 +72,9 @@ def swap_in(spark: SparkSession, staged: str, target: str) -> None:
     recover(spark, target)
     if fs.exists(at):
         fs.mkdirs(aside.getParent())
-        if not fs.rename(at, aside):
+        if not _moved(fs, at, aside):
             raise OSError(f"could not move {target} aside")
-    if not fs.rename(new, at):
+    if not _moved(fs, new, at):
         recover(spark, target)
         raise OSError(f"could not move {staged} to {target}")
     fs.delete(aside, True)
@@ -83,7 +92,7 @@ def recover(spark: SparkSession, target: str) -> None:
     if fs.exists(aside):
         if fs.exists(at):
             fs.delete(aside, True)
-        elif not fs.rename(aside, at):
+        elif not _moved(fs, aside, at):
             raise OSError(f"could not bring {target} back")
 
 
@@ -118,7 +127,7 @@ def replace_batch(df: DataFrame, root: str, dataset: str, day: str, name: str) -
     for f in before:
         fs.delete(f, False)
     for i, f in enumerate(files):
-        if not fs.rename(f, hadoop_path(spark, f"{target}/{name}.{i:05d}.parquet")[1]):
+        if not _moved(fs, f, hadoop_path(spark, f"{target}/{name}.{i:05d}.parquet")[1]):
             raise OSError(f"could not move {f.toString()} to {target}")
     fs.delete(hadoop_path(spark, staged)[1], True)
 

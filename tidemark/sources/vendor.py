@@ -9,6 +9,7 @@ from __future__ import annotations
 import importlib
 import json
 import random
+import re
 import time
 from collections.abc import Callable, Iterator
 
@@ -52,18 +53,31 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(VendorSource)
 
 
+# What a rate limit looks like, and how long to wait
+RATE_LIMITED = ("401", "429", "999", "too many", "rate limit")
+FIRST_WAIT, LONGEST_WAIT, FLOOR_AFTER_TWO, JITTER = 2.0, 120.0, 60.0, 0.25
+
+#: Whatever follows these names in an error message is a secret.
+SECRET = re.compile(r"(?i)\b(token|secret|password|api[_-]?key|authorization|crumb|cookie)(\"?\s*[=:]\s*\"?)(bearer\s+)?[^\s\"&,;]+")
+
+
+def redacted(message: str) -> str:
+    """An error message without the secrets that URLs and headers in it carry."""
+    return SECRET.sub(r"\1\2***", message)
+
+
 def retryable(message: str) -> bool:
     """Whether an error is worth another try: rate limits are, refusals aren't."""
     text = message.lower()
-    return any(t in text for t in ("401", "429", "999", "too many", "rate limit")) and "permission" not in text
+    return any(t in text for t in RATE_LIMITED) and "permission" not in text
 
 
-def backoff(failures: int, rng: random.Random | None = None, base: float = 2.0, most: float = 120.0, floor_after_two: float = 60.0, jitter: float = 0.25) -> float:
-    """Seconds to wait after so many failures in a row."""
+def backoff(failures: int, rng: random.Random | None = None, base: float = FIRST_WAIT, most: float = LONGEST_WAIT, floor_after_two: float = FLOOR_AFTER_TWO, jitter: float = JITTER) -> float:
+    """Seconds to wait after so many failures in a row, and up to `jitter` more."""
     wait = min(most, base * 2 ** max(0, failures - 1))
     if failures > 2:
         wait = max(wait, floor_after_two)
-    return wait * (1 + jitter * (rng or random).random())
+    return wait + jitter * (rng or random).random()
 
 
 def with_retries(call: Callable[[], object], tries: int = 3, sleep: Callable[[float], None] = time.sleep) -> object:
