@@ -132,9 +132,11 @@ def test_writer_and_resume(spark, tmp_path):
     for s in ("A", "B", "C"):
         w.add("recommendations", [{"symbol": s, "snapshot_utc": "2026-07-03T00:00:00Z", "buy": 1.5}])
         w.add("profile", [{"symbol": s, "snapshot_utc": "2026-07-03T00:00:00Z"}] if s != "C" else [])
+        w.add_rating_events([{"symbol": s, "GradeDate": "2026-06-01T10:00:00", "Firm": "F"}, {"symbol": s, "no_analyst_coverage": True}], "2026-07-03T00:00:00Z")
         w.symbol_done()
     w.flush()
     a = Archive(spark, str(tmp_path))
+    assert w.events_added == a.index().count() == 3 and w.known_symbols("profile").count() == 2
     assert a.load("recommendations").count() == 3 and {r.run_id for r in a.load("recommendations").collect()} == {"run1"}
     assert {r.symbol for r in sinks.complete_symbols(a, ["recommendations", "profile"], "2026-07-02").collect()} == {"A", "B"}
     asked = spark.createDataFrame([("A",), ("C",), ("D",)], "symbol string")

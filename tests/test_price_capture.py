@@ -4,8 +4,9 @@ from datetime import UTC, date, datetime, timedelta
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.functions.calendar import session_axis
+from tidemark.functions.calendar import session_axis, sessions_table
 from tidemark.operators import evidence, price_capture
 from tidemark.schemas import PRICE_ANCHORS
 
@@ -44,12 +45,24 @@ def test_capture_verify_seal(spark, tmp_path):
     assert price_capture.verify(spark, root, TARGET, universe, now, 0.99) == ["coverage 0.941176"]
     assert "request" in price_capture.verify(spark, root, TARGET, universe.limit(2), now, 0.9)
     again = price_capture.capture(spark, root, universe, TARGET, v.fetch, "run", "1.0", v.clock)
-    assert len(v.calls) == 3 and again["output"]["content"] == m["output"]["content"]
+    assert len(v.calls) == 6 and again["output"]["rows"] == m["output"]["rows"]  # a batch with a symbol that can't be published is fetched again
     now = v.now + timedelta(minutes=5)
     with pytest.raises(evidence.SealError, match="coverage"):
         price_capture.seal(spark, root, TARGET, universe, now)
     known = universe.where("symbol <> 'NONE'")
     price_capture.capture(spark, root, known, TARGET, v.fetch, "run", "1.0", v.clock)
+    n = len(v.calls)
+    price_capture.capture(spark, root, known, TARGET, v.fetch, "run", "1.0", v.clock)
+    assert len(v.calls) == n
+    names = spark.createDataFrame([(s,) for s in sorted([*PRICE_ANCHORS, "AAPL", "MSFT"])], "symbol string").withColumn("provider_symbol", F.col("symbol"))
+    base = tmp_path / "_price_checkpoints" / "date=2026-08-27"
+    note = evidence.read_json(base / "batch_0001.json")
+    keys = ("schema", "status", "request", "batch_id", "run_id", "provider_version")
+    errors = lambda **k: price_capture.checkpoint_errors(spark, str(base / "batch_0001"), base / "batch_0001.json", {x: note[x] for x in keys} | k, names, sessions_table(spark, session_axis(TARGET)[0], TARGET), TARGET)
+    assert errors() == [] and errors(run_id="other") == ["another request, run, batch or provider"]
+    evidence.write_json(base / "batch_0001.json", note | {"missing": ["AAPL"], "capture_finished_utc": note["capture_started_utc"]})
+    assert [e.split(" ", 1)[-1] for e in errors()] == ["rows break the contract", "of symbols"]
+    evidence.write_json(base / "batch_0001.json", note)
     now = v.now + timedelta(minutes=5)
     sealed = price_capture.seal(spark, root, TARGET, known, now)
     assert len(sealed["files"]) == 2

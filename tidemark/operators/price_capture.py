@@ -48,10 +48,51 @@ def _rows(spark: SparkSession, wide: pd.DataFrame | None, names: DataFrame, sess
     return prices.build_rows(prices.long_bars(spark.createDataFrame(wide)), names, sessions, target, stamps)
 
 
+def checkpoint_errors(spark: SparkSession, data: str, note: Path, wanted: dict, names: DataFrame, sessions: DataFrame, target: date) -> list[str]:
+    """Why a batch's checkpoint can't be taken over; names(symbol, provider_symbol) of the batch.
+
+    Its note must be of the same request, run, batch and provider, its file what the note says, every row must meet the contract, and no symbol may
+    lack what it needs to be published: such a batch is fetched again.
+    """
+    if not note.exists() or not exists(spark, data):
+        return ["absent"]
+    old, kinds = read_json(note), SCHEMAS["daily_prices"]
+    raw = spark.read.parquet(data)
+    if {k: old.get(k) for k in wanted} != wanted:
+        return ["another request, run, batch or provider"]
+    if [(f.name, f.dataType) for f in raw.schema.fields] != [(f.name, f.dataType) for f in kinds.fields] or old.get("schema_sha256") != schema_hash(raw):
+        return ["columns"]
+    rows = spark.read.schema(kinds).parquet(data)
+    if old.get("rows") != rows.count() or old.get("content") != table_hash(rows, ["canonical_symbol", "bar_session"]):
+        return ["content"]
+    try:
+        begun, ended = (_utc(as_utc(old[k])) for k in ("capture_started_utc", "capture_finished_utc"))
+    except (KeyError, TypeError, ValueError):
+        return ["times"]
+    checked = prices.contract_errors(rows, target, _utc(close_utc(target)), ended, (begun, ended))
+    checked = checked.join(names.select(F.col("symbol").alias("canonical_symbol"), F.col("provider_symbol").alias("want")), "canonical_symbol", "left")
+    checked = checked.join(F.broadcast(sessions.select(F.col("session_date").alias("bar_session"), F.lit(True).alias("on_axis"))), "bar_session", "left")
+    same = [("symbol", F.col("canonical_symbol")), ("provider_symbol", F.col("want")), ("target_session", F.lit(target)), ("on_axis", F.lit(True)), *[(k, F.lit(wanted[k])) for k in ("run_id", "batch_id", "provider_version")]]
+    off = F.size("errors") > 0
+    for name, value in same:
+        off = off | ~F.col(name).eqNullSafe(value)
+    n_off, n_pairs = checked.agg(F.count_if(off), F.count_distinct("canonical_symbol", "bar_session")).first()
+    whole = prices.eligible(rows, sessions, target)
+    good = sorted(r[0] for r in whole.collect())  # of one batch
+    out = [f"{n_off} rows break the contract"] if n_off else []
+    if n_pairs != old["rows"]:
+        out.append("repeated rows")
+    if not names.join(whole, names["symbol"] == whole["canonical_symbol"], "left_anti").isEmpty():
+        out.append("symbols that can't be published")
+    if old.get("succeeded") != good or old.get("missing") != sorted(r[0] for r in names.select("symbol").collect() if r[0] not in good):
+        out.append("lists of symbols")
+    return out
+
+
 def capture(spark: SparkSession, root: str, universe: DataFrame, target: date, fetch: Fetch, run_id: str, provider_version: str, clock: Callable[[], datetime] = lambda: datetime.now(UTC)) -> dict:
     """Fetch all batches not yet captured, retry incomplete symbols one by one, write the partition and its manifest.
 
-    A batch's checkpoint counts only if its request and its content hash still hold. Each batch is 50 symbols of 30 sessions.
+    A batch's checkpoint counts only if checkpoint_errors finds nothing. Each batch is 50 symbols of 30 sessions.
     """
     if not is_session(target) or clock() < close_utc(target):
         raise SealError(f"{target} is no completed session")
@@ -63,14 +104,12 @@ def capture(spark: SparkSession, root: str, universe: DataFrame, target: date, f
     for n in range(0, len(symbols), BATCH):
         batch_id, some = f"batch_{n // BATCH + 1:04d}", symbols[n : n + BATCH]
         note, data = Path(base) / f"{batch_id}.json", f"{base}/{batch_id}"
-        mark = {"request": identity(_request(some, axis, target)), "batch": batch_id}
-        if note.exists() and exists(spark, data):
-            old = read_json(note)
-            if {k: old.get(k) for k in mark} == mark and old["content"] == table_hash(spark.read.schema(SCHEMAS["daily_prices"]).parquet(data), ["canonical_symbol", "bar_session"]):
-                parts.append(data)
-                continue
+        mark = {"schema": SCHEMA, "status": "complete", "request": identity(_request(some, axis, target)), "batch_id": batch_id, "run_id": run_id, "provider_version": provider_version}
         names = spark.createDataFrame([(s,) for s in some], "symbol string").withColumn("provider_symbol", provider_symbol(F.col("symbol")))
-        begun = clock()
+        if not checkpoint_errors(spark, data, note, mark, names, sessions, target):
+            parts.append(data)
+            continue
+        begun = first = clock()
         wide = _download(fetch, [s.replace(".", "-") for s in some], axis)
         ended = clock()
         stamps = {"run_id": run_id, "provider_version": provider_version, "batch_id": batch_id, "capture_started_utc": _utc(begun), "capture_finished_utc": _utc(ended), "available_at_utc": _utc(ended)}
@@ -84,7 +123,12 @@ def capture(spark: SparkSession, root: str, universe: DataFrame, target: date, f
                 one = stamps | {"capture_started_utc": _utc(begun), "capture_finished_utc": _utc(ended), "available_at_utc": _utc(ended)}
                 rows = asof.overlay(rows, _rows(spark, again, names.where(F.col("symbol") == s), sessions, target, one)[0], ["canonical_symbol", "bar_session"])
         rows.select(*SCHEMAS["daily_prices"].fieldNames()).coalesce(1).write.mode("overwrite").parquet(data)
-        write_json(note, mark | {"content": table_hash(spark.read.schema(SCHEMAS["daily_prices"]).parquet(data), ["canonical_symbol", "bar_session"])})
+        kept = spark.read.schema(SCHEMAS["daily_prices"]).parquet(data)
+        good = sorted(r[0] for r in prices.eligible(kept, sessions, target).collect())
+        write_json(note, mark | {
+            "rows": kept.count(), "schema_sha256": schema_hash(spark.read.parquet(data)), "content": table_hash(kept, ["canonical_symbol", "bar_session"]), "capture_started_utc": _utc(first), "capture_finished_utc": _utc(ended),
+            "succeeded": good, "missing": sorted(s for s in some if s not in good),
+        })
         parts.append(data)
     everything = spark.read.schema(SCHEMAS["daily_prices"]).parquet(*parts)
     good = everything.join(prices.eligible(everything, sessions, target), "canonical_symbol", "left_semi").select(*SCHEMAS["daily_prices"].fieldNames())

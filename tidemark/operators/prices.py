@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Iterator, Sequence
 from datetime import date
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from pyspark.sql import Window, WindowSpec
 
 from ..schemas import PRICE_ANCHORS, PRICE_NUMBERS
 
@@ -75,24 +76,24 @@ def with_record_hash(rows: DataFrame, column: str = "raw_record_sha256") -> Data
     """SHA-256 of the canonical JSON of a raw bar. Python writes the numbers, for the JVM spells doubles otherwise; rows stay where they are."""
     kept = [c for c in rows.columns if c != column]
     schema = ", ".join([*[f"`{c}` {t}" for c, t in rows.dtypes if c != column], f"`{column}` string"])
+    hashed = ("canonical_symbol", "bar_session", "unadjusted_open", "unadjusted_high", "unadjusted_low", "unadjusted_close", "volume")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import hashlib
+    def digest(values: tuple) -> str | None:
+        if None in values:
+            return None
+        symbol, day, o, h, low, c, v = values
+        record = {"provider": CONSTANTS["provider_name"], "symbol": symbol, "date": day.isoformat(), "open": o, "high": h, "low": low, "close": c, "volume": v, "price_basis": CONSTANTS["unadjusted_price_basis"]}
+        try:
+            return hashlib.sha256(canonical_json(record).encode()).hexdigest()
+        except ValueError:  # NaN and infinities have no JSON
+            return None
 
-        for pdf in batches:
-            out = pdf[kept].copy()
-            cols = [pdf[c] for c in ("canonical_symbol", "bar_session", "unadjusted_open", "unadjusted_high", "unadjusted_low", "unadjusted_close", "volume")]
-            hashes = []
-            for s, d, o, h, lo, c, v in zip(*cols, strict=True):
-                rec = {"provider": CONSTANTS["provider_name"], "symbol": s, "date": d.isoformat(), "open": o, "high": h, "low": lo, "close": c, "volume": v, "price_basis": CONSTANTS["unadjusted_price_basis"]}
-                try:
-                    hashes.append(hashlib.sha256(canonical_json(rec).encode()).hexdigest())
-                except (ValueError, TypeError):
-                    hashes.append(None)
-            out[column] = hashes
-            yield out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = [digest(x) for x in zip(*[batch.column(c).to_pylist() for c in hashed], strict=True)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(digests, pa.string())], names=[*kept, column])
 
-    return rows.select(*kept, *([column] if column in rows.columns else [])).mapInPandas(run, schema)
+    return rows.select(*[f"`{c}`" for c in kept]).mapInArrow(run, schema)
 
 
 def contract_errors(rows: DataFrame, target: date, close_utc: str, observed_utc: str, manifest: tuple[str, str] | None = None, check_hash: bool = True) -> DataFrame:
@@ -172,12 +173,18 @@ def build_rows(bars: DataFrame, symbols: DataFrame, sessions: DataFrame, target:
     return good.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}).select(*SCHEMAS["daily_prices"].fieldNames()).sort("canonical_symbol", "bar_session"), rejected
 
 
-def sortedness(rows: DataFrame, position: str = "row_no") -> DataFrame:
-    """Whether rows stand in canonical order: one row, in_order BOOLEAN. Neighbours are compared within ranges of positions, whose edges meet in a second, small pass."""
+def sortedness(rows: DataFrame, position: str = "row_no", width: int = 100_000) -> DataFrame:
+    """Whether rows stand in canonical order: one row, in_order BOOLEAN.
+
+    Neighbours are compared within ranges of `width` positions, then the edges of ranges within ranges of ranges; what is left, a row for each width^2 positions, meets in one window.
+    """
     key = F.struct("canonical_symbol", "bar_session")
-    part = F.floor(F.col(position) / 100_000)
-    w = Window.partitionBy("part").orderBy(position)
-    marked = rows.select(part.alias("part"), F.col(position), key.alias("k")).withColumn("prev", F.lag("k").over(w))
-    inner = marked.groupBy("part").agg(F.bool_and(F.coalesce(F.col("prev") <= F.col("k"), F.lit(True))).alias("ok"), F.min_by("k", position).alias("first"), F.max_by("k", position).alias("last"))
-    edge = inner.withColumn("before", F.lag("last").over(Window.orderBy("part")))
-    return edge.agg(F.coalesce(F.bool_and(F.col("ok") & F.coalesce(F.col("before") <= F.col("first"), F.lit(True))), F.lit(True)).alias("in_order"))
+    runs = rows.select(F.col(position).cast("long").alias("at"), key.alias("first"), key.alias("last"), F.lit(True).alias("ok"))
+
+    def joined(w: WindowSpec) -> Column:
+        return F.col("ok") & F.coalesce(F.lag("last").over(w.orderBy("at")) <= F.col("first"), F.lit(True))
+
+    for _ in range(2):
+        part = F.floor(F.col("at") / width)
+        runs = runs.withColumn("ok", joined(Window.partitionBy(part))).groupBy(part.alias("part")).agg(F.min_by("first", "at").alias("first"), F.max_by("last", "at").alias("last"), F.bool_and("ok").alias("ok")).withColumnRenamed("part", "at")
+    return runs.withColumn("ok", joined(Window.partitionBy())).agg(F.coalesce(F.bool_and("ok"), F.lit(True)).alias("in_order"))

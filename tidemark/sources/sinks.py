@@ -247,7 +247,7 @@ def missing_pairs(archive: Archive, symbols: DataFrame, datasets: Sequence[str],
 
 
 class SnapshotWriter:
-    """Collects the rows of many symbols and writes every `every` symbols, one append per dataset.
+    """Collects the rows of many symbols and writes every `every` symbols, one append per dataset, rating events to their index.
 
     A dataset that fails doesn't keep the others from being written; the first error is raised at the end.
     """
@@ -255,27 +255,44 @@ class SnapshotWriter:
     def __init__(self, spark: SparkSession, root: str, day: str, run_id: str, every: int = 50):
         self.spark, self.root, self.day, self.run_id, self.every = spark, root, day, run_id, every
         self.rows: dict[str, list[dict]] = {}
-        self.done = 0
+        self.events: list[dict] = []
+        self.done = self.events_added = 0
 
-    def add(self, dataset: str, rows: list[dict]) -> None:
+    def known_symbols(self, dataset: str) -> DataFrame:
+        """Symbols that the day's partition holds, markers included."""
+        return Archive(self.spark, self.root).symbols(dataset, self.day)
+
+    def add(self, dataset: str, rows: list[dict]) -> int:
         self.rows.setdefault(dataset, []).extend({"dataset": dataset, "run_id": self.run_id} | r for r in rows)
+        return len(rows)
+
+    def add_rating_events(self, rows: list[dict], first_seen_utc: str) -> None:
+        """Rows that are events; which of them are new is found when they are written."""
+        self.events.extend({"run_id": self.run_id, "dataset": "rating_events", "first_seen_utc": first_seen_utc} | r for r in rows if not r.get("no_analyst_coverage"))
 
     def symbol_done(self) -> None:
         self.done += 1
         if self.done % self.every == 0:
             self.flush()
 
+    def _frame(self, rows: list[dict]) -> DataFrame:
+        names = sorted({k for r in rows for k in r})
+        return self.spark.createDataFrame([tuple(None if r.get(k) is None else str(r[k]) for k in names) for r in rows], ", ".join(f"`{n}` string" for n in names))
+
     def flush(self) -> None:
         error = None
         for dataset in list(self.rows):
-            rows = self.rows[dataset]
             try:
-                names = sorted({k for r in rows for k in r})
-                text = self.spark.createDataFrame([tuple(None if r.get(k) is None else str(r[k]) for k in names) for r in rows], ", ".join(f"`{n}` string" for n in names))
-                append_rows(text, self.root, dataset, self.day)
+                append_rows(self._frame(self.rows[dataset]), self.root, dataset, self.day)
                 del self.rows[dataset]
             except Exception as e:  # noqa: BLE001
                 error = error or e
+        try:
+            if self.events:
+                self.events_added += ingest_events(self.spark, self.root, self._frame(self.events), self.day)
+                self.events = []
+        except Exception as e:  # noqa: BLE001
+            error = error or e
         if error:
             raise error
 
