@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import data_rows, has_clock, norm_symbol, strip, utc_time
+from ..plans.changes import GRADE_TIME_SQL, SYMBOL_SQL
 from ..session import materialize, table
 from . import canon, dedupe, langid, mixing, packing
 from .tokens import with_token_counts
@@ -127,7 +128,28 @@ def _match_sql(words: canon.Words = canon.WORDS) -> str:
 
 _FIELDS_SQL = " UNION ALL ".join(f"SELECT row_id, '{f}' AS field_name, '{n}' AS list, \"{f}\" AS value FROM upgrades_downgrades WHERE NOT coalesce(no_analyst_coverage, false)" for f, n in FIELDS.items())
 _FOUND_SQL = f"{_match_sql()}, p4 AS (SELECT r.row_id, r.field_name, r.list, r.value, f.ref_id FROM ({_FIELDS_SQL}) r JOIN found f ON f.list = r.list AND f.value = r.value WHERE NOT EXISTS (SELECT 1 FROM entries e WHERE e.list = r.list AND e.name = r.value))"
+
+
+def _repeats_sql() -> str:
+    """Rating actions in order of arrival within each content, every one against the first rows before it."""
+    bare = lambda c: rf"regexp_replace({c}, '^\s+|\s+$', '', 'g')"
+    own = lambda c, f: f"CASE WHEN {f}.ref_id > 0 THEN '#' || {f}.ref_id ELSE lower({bare(c)}) END"
+    action = f"lower({bare('u.\"Action\"')})"
+    word = " ".join(f"WHEN starts_with({action}, '{w}') THEN '{w}'" for w in ("up", "down", "main", "reit", "init"))
+    joined = " ".join(f"LEFT JOIN found {a} ON {a}.list = '{FIELDS[c]}' AND {a}.value = u.\"{c}\"" for a, c in (("fi", "Firm"), ("fg", "FromGrade"), ("tg", "ToGrade")))
+    entry = "STRUCT(rid BIGINT, t BIGINT, clock BOOLEAN, day BIGINT, fg VARCHAR)"
+    return f"""{_match_sql()}, acts AS (SELECT u.row_id AS rid, epoch_us({GRADE_TIME_SQL}) AS t, contains("GradeDate", ':') AS clock, nullif({own('u."FromGrade"', 'fg')}, '') AS fg,
+            concat_ws('|', coalesce({SYMBOL_SQL}, ''), {own('u."Firm"', 'fi')}, coalesce({own('u."ToGrade"', 'tg')}, ''), coalesce(CASE {word} ELSE {action} END, '')) AS akey
+        FROM upgrades_downgrades u {joined} WHERE NOT coalesce(no_analyst_coverage, false) AND {bare('u."Firm"')} <> ''),
+    seq AS (SELECT *, t // 86400000000 AS day, row_number() OVER (PARTITION BY akey ORDER BY rid) AS nr FROM acts WHERE t IS NOT NULL),
+    walk(akey, nr, firsts, rid, rep) AS (SELECT DISTINCT akey, CAST(0 AS BIGINT), CAST([] AS {entry}[]), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM seq UNION ALL
+        SELECT akey, nr, CASE WHEN rep IS NULL THEN list_append(firsts, me) ELSE firsts END, rid, coalesce(rep, rid) FROM (SELECT s.akey, s.nr, w.firsts, s.rid, CAST(struct_pack(rid := s.rid, t := s.t, clock := s.clock, day := s.day, fg := s.fg) AS {entry}) AS me,
+            list_min(list_transform(list_filter(w.firsts, lambda y: (y.fg IS NULL OR s.fg IS NULL OR y.fg = s.fg) AND CASE WHEN y.clock AND s.clock THEN abs(y.t - s.t) <= 600000000 ELSE y.day = s.day END), lambda y: y.rid)) AS rep FROM walk w JOIN seq s ON s.akey = w.akey AND s.nr = w.nr + 1))
+    SELECT rep AS row_id_a, rid AS row_id_b FROM walk WHERE rep <> rid"""
+
+
 SQL: dict[str, str] = {
+    "p7_found": _repeats_sql(),
     "p4_found": f"{_FOUND_SQL} SELECT row_id, field_name, ref_id FROM p4",
     "p4_unmatched": rf"{_FOUND_SQL} SELECT field_name, lower(regexp_replace(value, '^\s+|\s+$', '', 'g')) AS value, count(*) AS n_rows FROM p4 WHERE ref_id = 0 GROUP BY 1, 2",
 }
