@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..session import materialize, remove_path, scratch_path
-from .fingerprints import BUCKETS, CONTENTS, FAN, FILE_POSTINGS, Lookup, Store, fingerprints, write_run
+from .fingerprints import BUCKETS, CONTENTS, ENTRY, FAN, FILE_POSTINGS, Lookup, Store, fingerprints, write_run
 
 DAY = 86_400_000_000
 #: A day's texts are spread over one more task for every so many rows of the batch.
@@ -87,25 +87,42 @@ class _Group:
         return min((r for r, g in near if not fg or not g or g == fg), default=rid)
 
 
+class _Held:
+    """New first rows of one bucket by content, as columns."""
+
+    def __init__(self):
+        self.at: dict[tuple[str, int], int] = {}
+        self.fps: list[np.ndarray] = []
+        self.entries: list[list[tuple]] = []
+
+    def table(self) -> pa.Table:
+        sizes, flat = [len(f) for f in self.fps], [e for some in self.entries for e in some]
+        offsets = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+        columns = [pa.array(x, t.type) for x, t in zip(zip(*flat, strict=True), ENTRY.value_type.fields, strict=True)]
+        entries = pa.ListArray.from_arrays(offsets([len(e) for e in self.entries]), pa.StructArray.from_arrays(columns, fields=ENTRY.value_type.fields))
+        fps = pa.ListArray.from_arrays(offsets(sizes), pa.array(np.concatenate(self.fps), pa.int64()))
+        return pa.table([pa.array([k for k, _ in self.at], pa.string()), pa.array([d for _, d in self.at], pa.int64()), fps, entries], schema=CONTENTS)
+
+
 class _Writer:
     """Contents with new first rows, written by bucket when enough have come together and at the end."""
 
     def __init__(self, store: Store, run: str):
         self.store, self.run, self.rows, self.postings, self.part = store, run, {}, 0, 0
 
-    def add(self, bucket: int, akey: str, day: int, fps: np.ndarray, entry: tuple) -> None:
-        held = self.rows.setdefault(bucket, {})
-        if (akey, day) not in held:
-            held[akey, day] = (fps, [])
+    def add(self, bucket: int, content: tuple[str, int], fps: np.ndarray, entry: tuple) -> None:
+        held = self.rows.setdefault(bucket, _Held())
+        n = held.at.setdefault(content, len(held.at))
+        if n == len(held.fps):
+            held.fps.append(fps)
+            held.entries.append([])
             self.postings += len(fps)
-        held[akey, day][1].append(entry)
+        held.entries[n].append(entry)
 
     def flush(self) -> None:
         task = TaskContext.get().partitionId()
         for bucket, held in self.rows.items():
-            names = ("rid", "t", "clock", "fg")
-            rows = {"akey": [k[0] for k in held], "block": [k[1] for k in held], "fps": [v[0] for v in held.values()], "entries": [[dict(zip(names, e, strict=True)) for e in v[1]] for v in held.values()]}
-            write_run(self.store.folder, f"{self.run}/{bucket}/{task}-{self.part}", pa.table(rows, schema=CONTENTS))
+            write_run(self.store.folder, f"{self.run}/{bucket}/{task}-{self.part}", held.table())
         self.rows, self.postings, self.part = {}, 0, self.part + 1
 
 
@@ -129,7 +146,7 @@ def _settler(uri: str, run: str, minutes: int, least: float):
                     asked.setdefault((k, one), len(asked))
             texts, blocks = [k for k, _ in asked], np.array([d for _, d in asked], dtype=np.int64)
             fps, sizes = fingerprints(texts, blocks)
-            starts, buckets = np.cumsum(sizes) - sizes, store.bucket(blocks)
+            starts, buckets = (np.cumsum(sizes) - sizes).tolist(), store.bucket(blocks).tolist()
             known: dict[tuple[str, int], list[dict]] = {}
             near: dict[tuple[str, int], tuple[float, int]] = {}
             names = list(asked)
@@ -152,7 +169,7 @@ def _settler(uri: str, run: str, minutes: int, least: float):
                 if r == rid[i]:
                     group.add(r, t[i], clock[i], day[i], fg[i])
                     a = asked[k, day[i]]
-                    writer.add(int(buckets[a]), k, day[i], fps[starts[a] : starts[a] + sizes[a]], (r, t[i], clock[i], fg[i]))
+                    writer.add(buckets[a], names[a], fps[starts[a] : starts[a] + sizes[a]], (r, t[i], clock[i], fg[i]))
                 rep.append(r)
                 share, first = near.get((k, day[i]), (None, None))
                 beside.append(first)

@@ -4,7 +4,7 @@ A content is a text within a block (for rating actions: the day). It is cut into
 the least hash of every window stays, so that equal contents have equal fingerprints and every stretch they share leaves one.
 
 The store is a folder that all workers share. Contents lie in buckets by block; in a bucket every accepted batch adds runs of files
-that are never changed: sorted fingerprints, the contents with their first rows, and a Bloom filter of the run's own size. A content is
+that are never changed: a Bloom filter of the run's own size, sorted fingerprints, and the contents with their first rows. A content is
 looked up in its bucket alone: fingerprints pass the filter or drop out, those that pass are found by bisection, contents too few of whose
 fingerprints are known drop out, the rarest fingerprints that any covering content must share name the candidates, and each candidate's
 shared fingerprints are counted. Files are read where the bisection touches them, so a batch doesn't pay for the history it doesn't meet.
@@ -27,13 +27,15 @@ import pyarrow.fs as pafs
 GRAM, WINDOW = 8, 4
 #: Bits set per fingerprint in its 64-bit word of the filter, and fingerprints a word should hold.
 BITS, PER_WORD = 4, 4
+SUFFIX = ".run"
 #: Buckets of a new store; one for every few gigabytes of contents that it will hold.
 BUCKETS = 32
 #: Runs of one level that are merged, postings a file holds before the next begins, characters hashed at a time.
 FAN, FILE_POSTINGS, CHUNK = 8, 4_000_000, 1 << 20
 ENTRY = pa.list_(pa.struct([("rid", pa.int64()), ("t", pa.int64()), ("clock", pa.bool_()), ("fg", pa.string())]))
 CONTENTS = pa.schema([("akey", pa.string()), ("block", pa.int64()), ("fps", pa.list_(pa.int64())), ("entries", ENTRY)])
-POSTINGS = pa.schema([("fp", pa.int64()), ("c", pa.int32())])
+#: What is given of a stored content that covers an asked one
+GIVEN = ["akey", "block", "entries"]
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -106,6 +108,7 @@ class Folder:
         if uri.startswith("file:"):
             uri = "/" + uri[5:].lstrip("/")
         self.fs, self.root = (pafs.LocalFileSystem(use_mmap=True), uri) if "://" not in uri else pafs.FileSystem.from_uri(uri)
+        self.made: set[str] = set()
 
     def open(self, name: str):
         return self.fs.open_input_file(posixpath.join(self.root, name))
@@ -113,7 +116,9 @@ class Folder:
     def write(self, name: str, put: Callable) -> None:
         """Aside, then renamed, so that no half file is ever read."""
         path = posixpath.join(self.root, name)
-        self.fs.create_dir(posixpath.dirname(path), recursive=True)
+        if (parent := posixpath.dirname(path)) not in self.made:
+            self.fs.create_dir(parent, recursive=True)
+            self.made.add(parent)
         aside = f"{path}.{uuid.uuid4().hex}.tmp"
         with self.fs.open_output_stream(aside) as out:
             put(out)
@@ -131,36 +136,41 @@ class Folder:
             self.fs.delete_dir(posixpath.join(self.root, folder))
 
 
-def _ipc(table: pa.Table) -> Callable:
-    def put(out) -> None:
-        with pa.ipc.new_file(out, table.schema) as w:
-            w.write_table(table)
-
-    return put
-
-
 def write_run(folder: Folder, name: str, contents: pa.Table) -> None:
-    """One run's files of a bucket: contents, sorted postings, filter."""
+    """One run's file of a bucket: three sizes, then filter, sorted fingerprints, their contents' numbers (each of whole eight bytes), contents."""
     contents = contents.combine_chunks()
     fps = contents["fps"].combine_chunks()
     flat, sizes = fps.flatten().to_numpy(), np.diff(fps.offsets.to_numpy())
-    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
     order = np.argsort(flat, kind="stable")
-    folder.write(f"{name}.contents", _ipc(contents))
-    folder.write(f"{name}.bloom", lambda out: out.write(bloom(flat).tobytes()))
-    folder.write(f"{name}.fp", _ipc(pa.table([flat[order], owner[order]], schema=POSTINGS)))
+    words = bloom(flat)
+    table = pa.BufferOutputStream()
+    with pa.ipc.new_file(table, contents.schema) as w:
+        w.write_table(contents)
+    parts = [np.array([len(words), len(flat), table.tell()], dtype=np.int64).tobytes(), words.tobytes(), flat[order].tobytes(), owner[order].tobytes(), table.getvalue()]
+    folder.write(f"{name}{SUFFIX}", lambda out: [out.write(x) for x in parts])
 
 
 class Run:
-    """A run's files, opened as far as they are needed."""
+    """A run's file: the filter is read at once, the rest where it is needed (on a mounted folder the file is mapped, not copied)."""
 
     def __init__(self, folder: Folder, name: str):
         self.folder, self.name = folder, name
-        with folder.open(f"{name}.bloom") as f:
-            self.words = np.frombuffer(f.read(), dtype=np.uint64)
+        with folder.open(f"{name}{SUFFIX}") as f:
+            self.n_words, self.n, self.size = np.frombuffer(f.read(24), dtype=np.int64).tolist()
+            self.words = np.frombuffer(f.read(8 * self.n_words), dtype=np.uint64)
+
+    def _part(self, at: int, size: int) -> pa.Buffer:
+        with self.folder.open(f"{self.name}{SUFFIX}") as f:
+            f.seek(24 + 8 * self.n_words + at)
+            return f.read_buffer(size)
+
+    def postings(self) -> tuple[np.ndarray, np.ndarray]:
+        both = np.frombuffer(self._part(0, 16 * self.n), dtype=np.int64)
+        return both[: self.n], both[self.n :]
 
-    def _table(self, suffix: str) -> pa.Table:
-        return pa.ipc.open_file(self.folder.open(f"{self.name}.{suffix}")).read_all()
+    def contents(self) -> pa.Table:
+        return pa.ipc.open_file(pa.BufferReader(self._part(16 * self.n, self.size))).read_all()
 
     def passes(self, fps: np.ndarray) -> np.ndarray:
         at, mask = _places(fps, len(self.words))
@@ -168,14 +178,13 @@ class Run:
 
     def covering(self, fps: np.ndarray, owner: np.ndarray, n: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, pa.Table]:
         """(asked content, coverage, stored content) for all stored contents that share at least `least` of an asked content's fingerprints. n: fingerprints of each asked content."""
-        none = np.zeros(0, np.int64), np.zeros(0), CONTENTS.empty_table()
+        none = np.zeros(0, np.int64), np.zeros(0), CONTENTS.empty_table().select(GIVEN)
         need = np.maximum(1, np.ceil(least * n - 1e-9).astype(np.int64))
         on = np.flatnonzero(self.passes(fps))
         on = on[(np.bincount(owner[on], minlength=len(n)) >= need)[owner[on]]]
         if not len(on):
             return none
-        postings = self._table("fp")
-        sorted_fps, holder = (postings[c].combine_chunks().to_numpy() for c in ("fp", "c"))
+        sorted_fps, holder = self.postings()
         left = np.searchsorted(sorted_fps, fps[on], "left")
         df = np.searchsorted(sorted_fps, fps[on], "right") - left
         known = df > 0
@@ -193,7 +202,7 @@ class Run:
         asked, c = np.repeat(own[rare], df[rare]), holder[_ranges(left[rare], df[rare])]
         pairs = np.unique(asked.astype(np.int64) << 32 | c)
         asked, c = pairs >> 32, pairs & 0xFFFFFFFF
-        stored = self._table("contents")
+        stored = self.contents()
         lists = stored["fps"].combine_chunks()
         offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
         sizes = (offsets[c + 1] - offsets[c]).astype(np.int64)
@@ -205,7 +214,7 @@ class Run:
         shared = (names[rank] == theirs) & (mine[np.minimum(np.searchsorted(mine, code), len(mine) - 1)] == code)
         count = np.bincount(pair[shared], minlength=len(c))
         ok = count >= need[asked]
-        return asked[ok], count[ok] / n[asked[ok]], stored.take(pa.array(c[ok]))
+        return asked[ok], count[ok] / n[asked[ok]], stored.select(GIVEN).take(pa.array(c[ok]))
 
 
 class Store:
@@ -231,13 +240,13 @@ class Store:
 
     def files(self, bucket: int) -> Iterator[str]:
         for run in self.runs:
-            yield from self.folder.names(f"{run}/{bucket}", ".bloom")
+            yield from self.folder.names(f"{run}/{bucket}", SUFFIX)
 
     def merge(self, runs: list[str], into: str, bucket: int) -> int:
         """Files of several runs as those of one; how many there are. A file never gets longer than FILE_POSTINGS allows, but for one long content."""
         held, size, made = [], 0, 0
-        for name in [n for run in runs for n in self.folder.names(f"{run}/{bucket}", ".contents")]:
-            part = pa.ipc.open_file(self.folder.open(f"{name}.contents")).read_all()
+        for name in [n for run in runs for n in self.folder.names(f"{run}/{bucket}", SUFFIX)]:
+            part = Run(self.folder, name).contents()
             n = int(np.diff(part["fps"].combine_chunks().offsets.to_numpy()).sum())
             if held and size + n > FILE_POSTINGS:
                 write_run(self.folder, f"{into}/{bucket}/{made}", pa.concat_tables(held))
