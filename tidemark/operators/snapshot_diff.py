@@ -48,11 +48,11 @@ def rounded(v: Column) -> Column:
     return F.when(v == 0, F.lit(0.0)).when(F.abs(v) == float("inf"), F.signum(v) * 1e18).otherwise(F.rint(F.signum(v) * (size / F.pow(F.lit(10.0), e)) * 1e7) * 1000 + e)
 
 
-def hashed(records: DataFrame, buckets: int) -> DataFrame:
-    """Adds the key hash, the value hash, the pair's check hash and the bucket."""
+def hashed(records: DataFrame) -> DataFrame:
+    """Adds the key hash, the value hash and the pair's check hash."""
     marked = F.transform("vals", lambda v: F.coalesce(rounded(v), F.lit(7e200)))  # Spark's hash skips nulls, so that a value that moves to another column would go unseen
     out = records.withColumn("kh", F.xxhash64("table_name", "record_key")).withColumn("vh", F.xxhash64(marked))
-    return out.withColumn("ck", F.xxhash64("kh", "vh")).withColumn("bucket", F.pmod(F.shiftrightunsigned("kh", 17), F.lit(buckets)))
+    return out.withColumn("ck", F.xxhash64("kh", "vh"))
 
 
 def planned(records: DataFrame, last: DataFrame, least_cells: int = LEAST_CELLS) -> DataFrame:
@@ -131,11 +131,12 @@ def snapshot_changes(records: DataFrame, tolerance: float = 1e-6, bucket_records
 
     A group of one bucket and pair of loads holds at most a lookup table's cells, so no task gets an unbounded group.
     """
-    loads = records.select("table_name", "load").distinct().withColumn("idx", F.row_number().over(Window.partitionBy("table_name").orderBy("load")))
-    loads = materialize(loads)  # as many rows as there are loads
-    n_loads, per_load = loads.count(), records.groupBy("table_name", "load").count().agg(F.max("count")).first()[0] or 0
-    buckets = max(1, -(-per_load // bucket_records))
-    recs = materialize(hashed(records.join(F.broadcast(loads) if n_loads <= 10_000 else loads, ["table_name", "load"]), buckets))
+    base = materialize(hashed(records))
+    sizes = base.groupBy("table_name", "load").agg(F.count("*").alias("n"))
+    loads = materialize(sizes.withColumn("idx", F.row_number().over(Window.partitionBy("table_name").orderBy("load"))))  # as many rows as there are loads
+    n_loads, per_load = loads.agg(F.count("*"), F.coalesce(F.max("n"), F.lit(0))).first()
+    loads, buckets = loads.drop("n"), max(1, -(-per_load // bucket_records))
+    recs = base.join(F.broadcast(loads) if n_loads <= 10_000 else loads, ["table_name", "load"]).withColumn("bucket", F.pmod(F.shiftrightunsigned("kh", 17), F.lit(buckets)))
     last = loads.groupBy("table_name").agg(F.max("idx").alias("last"))
     plan, done, failed = materialize(planned(recs, F.broadcast(last) if n_loads <= 10_000 else last, least_cells)), None, None
     for salt in range(MAX_ROUNDS):
